@@ -1,0 +1,10 @@
+"""Registered queries. Importing the modules fills the registry."""
+
+import importlib
+
+_MODULES = ("relational",)
+
+
+def load() -> None:
+    for module in _MODULES:
+        importlib.import_module(f"{__name__}.{module}")
