@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("relational",)
+_MODULES = ("relational", "corpus", "search")
 
 
 def load() -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +32,8 @@ def read_html_files(spark: SparkSession, folder: str, suffix: str = ".html") ->
     return page_text(named.where(has_suffix("source_file", suffix)), file="source_file", html="html")
 
 
-def page_text(raw: DataFrame, *, file: str, html: str) -> DataFrame:
+def page_text(raw: DataFrame, *, file: str, html: str, keep: Sequence[str] = ()) -> DataFrame:
     """``(source_file, page_number, text)`` from raw HTML rows, one page each; missing text is empty."""
     return raw.select(
-        F.col(file).alias("source_file"), F.lit(1).alias("page_number"), html_text(html).alias("text")
+        F.col(file).alias("source_file"), F.lit(1).alias("page_number"), html_text(html).alias("text"), *keep
     )

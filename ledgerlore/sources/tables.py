@@ -20,8 +20,10 @@ def literal_rows(spark: SparkSession, rows: Iterable[Mapping], schema: T.StructT
     return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
 
 
-def ensure_namespace(spark: SparkSession, namespace: str) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
+def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    """Create the schema if it is missing, in the warehouse or at the given location."""
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}{at}")
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:
