@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("relational", "corpus", "search")
+_MODULES = ("relational", "corpus", "search", "dialogs", "routing")
 
 
 def load() -> None:
