@@ -75,22 +75,18 @@ def policy_sections(policies: DataFrame, clauses: DataFrame) -> DataFrame:
     A shared clause is one row with a null policy: it belongs to all policies and is not copied for each.
     ``clauses`` is ``(section_no, ordinal, heading, text)`` with section numbers above the policies' own.
     """
-    lines = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    values,
-                    lambda text, i, no=no: F.struct(
-                        F.lit(no).alias("section_no"),
-                        i.alias("ordinal"),
-                        F.lit(OWN_SECTIONS[no - 1]).alias("heading"),
-                        text.alias("text"),
-                    ),
-                )
-                for no, values in _own_lines()
-            ]
+    def section(no: int, values: Column) -> Column:
+        return F.transform(
+            values,
+            lambda text, i: F.struct(
+                F.lit(no).alias("section_no"),
+                i.alias("ordinal"),
+                F.lit(OWN_SECTIONS[no - 1]).alias("heading"),
+                text.alias("text"),
+            ),
         )
-    )
+
+    lines = F.flatten(F.array(*[section(no, values) for no, values in _own_lines()]))
     own = policies.select("policy_number", F.inline(lines))
     shared = clauses.select(
         F.lit(None).cast(policies.schema["policy_number"].dataType).alias("policy_number"),
