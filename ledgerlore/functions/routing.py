@@ -33,25 +33,25 @@ def needs_documents(question: Column) -> Column:
     return _mentions(question, DOCUMENT_CUES)
 
 
-def is_follow_up(question: Column) -> Column:
-    """A reference to the turn before: a follow-up phrase and no cue of either source."""
-    return _mentions(question, FOLLOW_UP_CUES) & ~needs_tables(question) & ~needs_documents(question)
+def asks_for_more(question: Column) -> Column:
+    return _mentions(question, FOLLOW_UP_CUES)
+
 
+def own_route(tables: Column, documents: Column) -> Column:
+    """Route of a question taken alone, from the sources it needs."""
+    return F.when(tables & documents, HYBRID).when(tables, SQL).otherwise(VECTOR)
 
-def own_route(question: Column) -> Column:
-    """Route of the question taken alone."""
-    return (
-        F.when(needs_tables(question) & needs_documents(question), HYBRID)
-        .when(needs_tables(question), SQL)
-        .otherwise(VECTOR)
-    )
+
+def is_vague(tables: Column, documents: Column, more: Column) -> Column:
+    """A reference to the turn before: a follow-up phrase and no cue of either source."""
+    return more & ~tables & ~documents
 
 
 def route(question: Column, previous_route: Column) -> Column:
     """Route of a question; a vague follow-up goes where the turn before went, if that is known."""
-    return F.when(is_follow_up(question) & previous_route.isin(*ROUTES), previous_route).otherwise(
-        own_route(question)
-    )
+    tables, documents = needs_tables(question), needs_documents(question)
+    inherits = is_vague(tables, documents, asks_for_more(question)) & previous_route.isin(*ROUTES)
+    return F.when(inherits, previous_route).otherwise(own_route(tables, documents))
 
 
 def normalise_label(raw: Column) -> Column:

@@ -73,9 +73,9 @@ def chunk_text(c: Column | str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVE
 
 
 def first_line(c: Column | str) -> Column:
-    """First line that is not blank, stripped; null when there is none."""
-    lines = F.filter(F.transform(F.split(_col(c), "\n"), strip), lambda line: line != "")
-    return F.get(lines, F.lit(0))
+    """First line that is not blank, stripped; null when there is none. Reads no further than that line."""
+    line = F.regexp_extract(_col(c), r"(?U)(\S[^\n]*)", 1)
+    return F.nullif(F.regexp_replace(line, r"(?U)\s+$", ""), F.lit(""))
 
 
 def one_line(c: Column | str, chars: int = PREVIEW_CHARS) -> Column:

@@ -36,35 +36,36 @@ def rows_needed(columns: list[str], chars: int = ROWS_JSON_CHARS) -> int:
     return -(-chars // shortest) + 1
 
 
-def structured_context(rows: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
-    """``(qid, sql_rows_returned, rows_json)`` from result rows keyed by ``qid``.
+def structured_context(rows: DataFrame, order: list[str], columns: list[str], *, key: str = "qid") -> DataFrame:
+    """``(key, sql_rows_returned, rows_json)`` from result rows.
 
-    Counting combines on the map side. Only the rows that can appear in the text are gathered, so a question
-    with a huge result stays a small group.
+    ``key`` is the question or what several questions ask about, such as a customer: then the rows are put into
+    text once and not per question. Counting combines on the map side. Only the rows that can appear in the text
+    are gathered, so a key with a huge result stays a small group.
     """
-    counts = rows.groupBy("qid").agg(F.count(F.lit(1)).cast("int").alias("sql_rows_returned"))
-    first = Window.partitionBy("qid").orderBy(*order)
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("sql_rows_returned"))
+    first = Window.partitionBy(key).orderBy(*order)
     shown = (
-        rows.select("qid", *dict.fromkeys([*order, *columns]))
+        rows.select(*dict.fromkeys([key, *order, *columns]))
         .withColumn("__rn", F.row_number().over(first))
         .where(F.col("__rn") <= rows_needed(columns))
-        .select("qid", "__rn", row_json(columns).alias("__json"))
+        .select(key, "__rn", row_json(columns).alias("__json"))
     )
-    texts = shown.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("__rn", "__json"))).alias("__rows"))
+    texts = shown.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("__rn", "__json"))).alias("__rows"))
     joined = F.concat(F.lit("["), F.array_join(F.col("__rows.__json"), ","), F.lit("]"))
-    return counts.join(texts, "qid").select(
-        "qid", "sql_rows_returned", F.substring(joined, 1, ROWS_JSON_CHARS).alias("rows_json")
+    return counts.join(texts, key).select(
+        key, "sql_rows_returned", F.substring(joined, 1, ROWS_JSON_CHARS).alias("rows_json")
     )
 
 
-def excerpt_context(hits: DataFrame) -> DataFrame:
-    """``(qid, vector_chunks_used, excerpts)`` from top-k hits, in rank order; at most k rows per question."""
+def excerpt_context(hits: DataFrame, *, key: str = "qid") -> DataFrame:
+    """``(key, vector_chunks_used, excerpts)`` from top-k hits, in rank order; at most k rows per key."""
     line = F.concat(
         F.lit("["), F.coalesce("policy_name", F.lit("None")), F.lit(", page "), F.col("page_number").cast("string"),
         F.lit("]: "), F.substring("content", 1, EXCERPT_CHARS),
     )
-    lines = hits.select("qid", F.struct(F.col("rank"), line.alias("line")).alias("hit"))
-    return lines.groupBy("qid").agg(
+    lines = hits.select(key, F.struct(F.col("rank"), line.alias("line")).alias("hit"))
+    return lines.groupBy(key).agg(
         F.count(F.lit(1)).cast("int").alias("vector_chunks_used"),
         F.array_join(F.array_sort(F.collect_list("hit")).getField("line"), "\n\n").alias("excerpts"),
     )
@@ -83,25 +84,34 @@ def route_branches(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return routed.where(uses_tables(label)), routed.where(uses_documents(label))
 
 
-def merge_retrievals(routed: DataFrame, structured: DataFrame, excerpts: DataFrame) -> DataFrame:
-    """One row per question with both results; each side is already one row per ``qid``."""
-    return routed.join(structured, "qid", "left").join(excerpts, "qid", "left")
+def merge_retrievals(
+    routed: DataFrame, structured: DataFrame, excerpts: DataFrame, *, rows_key: str = "qid", hits_key: str = "qid"
+) -> DataFrame:
+    """One row per question with the results of the paths it takes; each side has one row per key."""
+    label = F.col("source_used")
+    merged = routed.join(structured, rows_key, "left").join(excerpts, hits_key, "left")
+    return merged.select(
+        *routed.columns,
+        *[F.when(uses_tables(label), F.col(c)).alias(c) for c in ("sql_rows_returned", "rows_json")],
+        *[F.when(uses_documents(label), F.col(c)).alias(c) for c in ("vector_chunks_used", "excerpts")],
+    )
 
 
 def answer_batch(
     routed: DataFrame,
-    result_rows: DataFrame,
-    hits: DataFrame,
+    structured: DataFrame,
+    excerpts: DataFrame,
     *,
-    order: list[str],
-    columns: list[str],
+    rows_key: str = "qid",
+    hits_key: str = "qid",
     with_context: bool = False,
 ) -> DataFrame:
     """Typed responses of a batch; an empty batch gives an empty table.
 
-    ``routed`` is ``(qid, question, source_used, sql_query, has_vector)``. A statement that fails the guard
-    returns no rows and its message; a question without a vector returns no chunks and says so; neither stops
-    the other questions. No prose is generated: ``answer`` is the retrieved context itself.
+    ``routed`` is ``(qid, question, source_used, sql_query, has_vector)`` and the keys; ``structured`` and
+    ``excerpts`` come from the functions above. A statement that fails the guard returns no rows and its message;
+    a question without a vector returns no chunks and says so; neither stops the other questions. No prose is
+    generated: ``answer`` is the retrieved context itself.
     """
     require_columns(
         routed, {"question": T.StringType, "source_used": T.StringType, "sql_query": T.StringType, "has_vector": T.BooleanType}
@@ -112,7 +122,7 @@ def answer_batch(
     checked = routed.withColumn("sql_query", F.when(tables, statement)).withColumn(
         "sql_error", F.when(tables, guard_message("sql_query"))
     )
-    merged = merge_retrievals(checked, structured_context(result_rows, order, columns), excerpt_context(hits))
+    merged = merge_retrievals(checked, structured, excerpts, rows_key=rows_key, hits_key=hits_key)
     ran = tables & F.col("sql_error").isNull()
     seen = documents & F.col("has_vector")
     rows_json = F.when(ran, F.col("rows_json"))

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlore.functions.history import HISTORY_TURNS, UNKNOWN_SOURCE, last_turn, search_text
-from ledgerlore.functions.ordered import BLOCK_BITS, previous_rows, totals_before
-from ledgerlore.functions.routing import ROUTES, is_follow_up, own_route
+from ledgerlore.functions.ordered import BLOCK_BITS, key_range, previous_rows, totals_before
+from ledgerlore.functions.routing import asks_for_more, is_vague, needs_documents, needs_tables, own_route
 
 HISTORY_MESSAGES = 2 * HISTORY_TURNS
 
@@ -81,10 +81,17 @@ def route_log(questions: DataFrame, *, group: str, order: str, bits: int = BLOCK
     ``questions`` is ``(group, order, question)``. Carrying the route forward is a running maximum of
     (order, route) over the questions that have one of their own.
     """
-    vague = is_follow_up(F.col("question"))
-    own = F.when(~vague, F.struct(F.col(order).alias("at"), own_route(F.col("question")).alias("route")))
-    rows = totals_before(questions, [group], order, {"__last": ("max", own)}, bits=bits)
-    inherited = F.when(F.col("__last.route").isin(*ROUTES), F.col("__last.route"))
-    return rows.withColumn(
-        "source_used", F.when(vague & inherited.isNotNull(), inherited).otherwise(own_route(F.col("question")))
-    ).drop("__last")
+    question = F.col("question")
+    cues = questions.select(
+        "*", needs_tables(question).alias("__t"), needs_documents(question).alias("__d"),
+        asks_for_more(question).alias("__m"),
+    )
+    judged = cues.select(
+        *questions.columns,
+        own_route(F.col("__t"), F.col("__d")).alias("__own"),
+        is_vague(F.col("__t"), F.col("__d"), F.col("__m")).alias("__vague"),
+    )
+    known = F.when(~F.col("__vague"), F.struct(F.col(order).alias("at"), F.col("__own").alias("route")))
+    rows = totals_before(judged, [group], order, {"__last": ("max", known)}, bits=bits, bounds=key_range(questions, order))
+    inherited = F.when(F.col("__vague"), F.col("__last.route"))
+    return rows.withColumn("source_used", F.coalesce(inherited, F.col("__own"))).drop("__last", "__own", "__vague")

@@ -137,13 +137,6 @@ def customer_totals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def question_rows(spark: SparkSession, folder: str, routed: DataFrame) -> DataFrame:
-    """Result rows of the questions that ask the tables, keyed by ``qid``."""
-    tables, _ = answering.route_branches(routed)
-    asked = tables.select("qid", F.col("user_id").alias("customer_id"))
-    return asked.join(customer_totals(spark, folder), "customer_id").select("qid", *RESULT_COLUMNS)
-
-
 def topic_hits(spark: SparkSession, folder: str) -> DataFrame:
     """``(topic, rank, policy_name, page_number, content)``: the chunks found for each policy."""
     pages = ingest.number_pages(I.page_rows(spark, folder), order="doc_id").select(
@@ -168,10 +161,11 @@ def with_topic(spark: SparkSession, folder: str, routed: DataFrame) -> DataFrame
     )
 
 
-def question_hits(questions: DataFrame, hits: DataFrame) -> DataFrame:
-    """Hits of the questions that ask the documents, keyed by ``qid``; k rows per question."""
-    _, documents = answering.route_branches(questions)
-    return documents.where("has_vector").select("qid", "topic").join(hits, "topic").drop("topic", "score")
+def retrieved(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The results to choose from: rows as text per customer, excerpts per topic."""
+    rows = customer_totals(spark, folder).withColumnRenamed("customer_id", "user_id")
+    structured = answering.structured_context(rows, ["transaction_type"], RESULT_COLUMNS, key="user_id")
+    return structured, answering.excerpt_context(topic_hits(spark, folder), key="topic")
 
 
 _HITS_SQL = f"""
@@ -203,11 +197,7 @@ _ANSWER_PARTS_SQL = f"""
 @query("hybrid_merge", f"SELECT qid, source_used, sql_rows, chunks FROM ({_ANSWER_PARTS_SQL})")
 def hybrid_merge(spark: SparkSession, folder: str) -> DataFrame:
     questions = with_topic(spark, folder, routed_questions(spark, folder))
-    structured = answering.structured_context(
-        question_rows(spark, folder, questions), ["transaction_type"], RESULT_COLUMNS
-    )
-    excerpts = answering.excerpt_context(question_hits(questions, topic_hits(spark, folder)))
-    merged = answering.merge_retrievals(questions, structured, excerpts)
+    merged = answering.merge_retrievals(questions, *retrieved(spark, folder), rows_key="user_id", hits_key="topic")
     label = F.col("source_used")
     return merged.select(
         "qid", "source_used",
@@ -225,10 +215,9 @@ def _responses(spark: SparkSession, folder: str) -> DataFrame:
     )
     return answering.answer_batch(
         questions.withColumn("sql_query", statement),
-        question_rows(spark, folder, questions),
-        question_hits(questions, topic_hits(spark, folder)),
-        order=["transaction_type"],
-        columns=RESULT_COLUMNS,
+        *retrieved(spark, folder),
+        rows_key="user_id",
+        hits_key="topic",
         with_context=True,
     )
 

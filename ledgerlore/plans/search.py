@@ -11,6 +11,7 @@ from ledgerlore.operators import evaluation
 from ledgerlore.operators.similarity import nearest, top_k, top_k_cells, with_columns
 from ledgerlore.plans.corpus import document_chunks
 from ledgerlore.plans.registry import query
+from ledgerlore.session import scratch_path
 from ledgerlore.sources.tables import scan
 
 TEST_K = 3
@@ -156,9 +157,11 @@ def probed_recall(spark: SparkSession, folder: str) -> DataFrame:
 @query("text_search")
 def text_search(spark: SparkSession, folder: str) -> DataFrame:
     """Every user message against all document chunks, both embedded by the fitted text embedding."""
-    chunks = document_chunks(spark, folder)
+    table = scratch_path(spark, "chunks")
+    document_chunks(spark, folder).select("chunk_id", "content").write.parquet(table)
+    chunks = spark.read.parquet(table)
     model = fit_text_embedding(chunks.select("content"))
-    stored = embed_text(model, chunks.select("chunk_id", "content"), "content")
+    stored = embed_text(model, chunks, "content")
     asked = scan(spark, folder, "conversations").where(F.col("role") == "user").select(
         F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("qid"),
         F.col("text").alias("content"),

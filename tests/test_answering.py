@@ -29,7 +29,9 @@ def answers(spark):
     hits = spark.createDataFrame(
         [(q, r, f"P{r}", r, "x" * 500 if r == 1 else "short") for q in (2, 3, 4, 5) for r in (2, 1)], HITS
     )
-    out = A.answer_batch(questions, rows, hits, order=["n"], columns=["n", "city"], with_context=True)
+    out = A.answer_batch(
+        questions, A.structured_context(rows, ["n"], ["n", "city"]), A.excerpt_context(hits), with_context=True
+    )
     return {r["qid"]: r for r in out.collect()}
 
 
@@ -57,20 +59,32 @@ def test_context(answers):
     assert answers[5]["retrieved_context"] == "QUESTION: no vector\n\n"
 
 
-def test_empty_batch(spark):
+def test_questions_share_the_text_of_what_they_ask_about(spark):
+    questions = spark.createDataFrame(
+        [(i, "q", ("SQL", "VECTOR", "HYBRID")[i % 3], "SELECT 1", True, i % 2, 7) for i in range(6)],
+        QUESTIONS + ", customer int, topic int",
+    )
+    rows = spark.createDataFrame([(0, 5, "Pune"), (0, 6, "Pune")], "customer int, n int, city string")
+    hits = spark.createDataFrame([(7, 1, "P", 1, "text")], HITS.replace("qid", "topic"))
     out = A.answer_batch(
-        spark.createDataFrame([], QUESTIONS), spark.createDataFrame([], ROWS), spark.createDataFrame([], HITS),
-        order=["n"], columns=["n", "city"],
+        questions, A.structured_context(rows, ["n"], ["n"], key="customer"), A.excerpt_context(hits, key="topic"),
+        rows_key="customer", hits_key="topic",
     )
+    got = {r["qid"]: (r["sql_rows_returned"], r["vector_chunks_used"]) for r in out.collect()}
+    assert got == {0: (2, None), 1: (None, 1), 2: (2, 1), 3: (0, None), 4: (None, 1), 5: (0, 1)}
+
+
+def test_empty_batch(spark):
+    rows, hits = spark.createDataFrame([], ROWS), spark.createDataFrame([], HITS)
+    structured, excerpts = A.structured_context(rows, ["n"], ["n", "city"]), A.excerpt_context(hits)
+    out = A.answer_batch(spark.createDataFrame([], QUESTIONS), structured, excerpts)
     assert out.count() == 0 and out.columns == ["qid", *[f.name for f in RESPONSE.fields]]
 
 
 def test_wrong_input_is_refused_early(spark):
+    short = spark.createDataFrame([], "qid int, question string, source_used string, sql_query string")
     with pytest.raises(ValueError, match="has_vector"):
-        A.answer_batch(
-            spark.createDataFrame([], "qid int, question string, source_used string, sql_query string"),
-            spark.createDataFrame([], ROWS), spark.createDataFrame([], HITS), order=["n"], columns=["n"],
-        )
+        A.answer_batch(short, short, short)
 
 
 @pytest.mark.parametrize("width", [0, 3, 200])
