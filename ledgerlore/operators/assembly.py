@@ -17,6 +17,8 @@ BENEFIT_NOTES = (
     "Up to 20% of Sum Insured per event",
     "As per Reasonable and Customary Charges",
 )
+# The shared text becomes part of every document value.
+MAX_SHARED_BYTES = 64 << 20
 OWN_SECTIONS = (
     "Policy", "Waiting Periods", "Inclusions / What's Covered", "Exclusions / What's Not Covered",
     "Claim Process", "Network Hospitals",
@@ -114,8 +116,13 @@ def policy_documents(policies: DataFrame, clauses: DataFrame) -> DataFrame:
     """``(policy_number, policy_name, document)``: own sections, then the shared ones.
 
     The lists of a policy are columns of its row and the shared text is a scalar subquery, so documents are
-    built where the policies lie: no product of policies and clauses, and no shuffle of the policies.
+    built where the policies lie: no product of policies and clauses, and no shuffle of the policies. Every
+    document holds the shared text, so its size is checked first; beyond the bound ``policy_sections`` keeps
+    documents as rows.
     """
+    size = clauses.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    if size > MAX_SHARED_BYTES:
+        raise ValueError(f"{size} bytes of shared clauses are too much for one value; use policy_sections")
     own = [F.concat_ws("\n", F.lit(OWN_SECTIONS[no - 1]), F.array_join(values, "\n")) for no, values in _own_lines()]
     return policies.select(
         "policy_number",

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ledgerlore.functions.text import one_line
 from ledgerlore.functions.vectors import embed_text, fit_text_embedding, mean_vector
 from ledgerlore.operators import evaluation
-from ledgerlore.operators.similarity import nearest, top_k, top_k_cells, with_columns
+from ledgerlore.operators.similarity import build_index, nearest, search_index, top_k, with_columns
 from ledgerlore.plans.corpus import document_chunks
 from ledgerlore.plans.registry import query
-from ledgerlore.session import scratch_path
+from ledgerlore.session import materialise
 from ledgerlore.sources.tables import scan
 
 TEST_K = 3
@@ -101,9 +101,8 @@ def nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def nearest_neighbours_by_cells(spark: SparkSession, folder: str) -> DataFrame:
     """The same through cells: the way for more queries than can travel with the tasks."""
     stored = vectors(spark, folder)
-    return top_k_cells(
-        stored, stored.withColumnRenamed("vec_id", "qid"), DEFAULT_K, member_id="vec_id", exclude_self=True
-    )
+    index = build_index(stored, member_id="vec_id")
+    return search_index(index, stored.withColumnRenamed("vec_id", "qid"), DEFAULT_K, exclude_self=True)
 
 
 @query(
@@ -147,19 +146,16 @@ def retrieval_quality(spark: SparkSession, folder: str) -> DataFrame:
 def probed_recall(spark: SparkSession, folder: str) -> DataFrame:
     """How many of the exact neighbours a search of the nearest cells finds."""
     stored = vectors(spark, folder)
-    found = top_k_cells(
-        stored, stored.withColumnRenamed("vec_id", "qid"), DEFAULT_K, member_id="vec_id", exclude_self=True,
-        probes=4, exact=False,
-    )
+    queries = stored.withColumnRenamed("vec_id", "qid")
+    index = build_index(stored, member_id="vec_id")
+    found = search_index(index, queries, DEFAULT_K, exclude_self=True, probes=4, exact=False)
     return evaluation.recall(found, nearest_neighbours(spark, folder))
 
 
 @query("text_search")
 def text_search(spark: SparkSession, folder: str) -> DataFrame:
     """Every user message against all document chunks, both embedded by the fitted text embedding."""
-    table = scratch_path(spark, "chunks")
-    document_chunks(spark, folder).select("chunk_id", "content").write.parquet(table)
-    chunks = spark.read.parquet(table)
+    chunks = materialise(document_chunks(spark, folder).select("chunk_id", "content"), "chunks")
     model = fit_text_embedding(chunks.select("content"))
     stored = embed_text(model, chunks, "content")
     asked = scan(spark, folder, "conversations").where(F.col("role") == "user").select(

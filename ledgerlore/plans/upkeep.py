@@ -13,7 +13,7 @@ from ledgerlore.plans import inputs as I
 from ledgerlore.plans.corpus import CHUNKS_SQL, chunk_sql, document_chunks
 from ledgerlore.plans.registry import query
 from ledgerlore.schemas import CHUNKS
-from ledgerlore.session import scratch_path
+from ledgerlore.session import materialise, scratch_path
 from ledgerlore.sources.tables import scan
 from ledgerlore.streaming.index_sync import read_index, sync_index
 
@@ -61,7 +61,7 @@ def chunk_changes(spark: SparkSession, folder: str) -> DataFrame:
     f"SELECT chunk_id, source_file, policy_name, page_number, char_count, md5(content) AS digest FROM ({LATER_CHUNKS_SQL})",
 )
 def applied_changes(spark: SparkSession, folder: str) -> DataFrame:
-    old = document_chunks(spark, folder)
+    old = materialise(document_chunks(spark, folder), "snapshot")
     applied = apply_changes(old, change_feed(old, later_chunks(spark, folder), "chunk_id"), "chunk_id")
     return applied.select(
         "chunk_id", "source_file", "policy_name", "page_number", "char_count", F.md5("content").alias("digest")
@@ -79,8 +79,7 @@ def index_sync(spark: SparkSession, folder: str) -> DataFrame:
     """First run takes the whole chunk table, an idle run nothing, the next run the changes alone."""
     base = scratch_path(spark, "index")
     source, index, checkpoint = f"{base}/changes", f"{base}/index", f"{base}/checkpoint"
-    document_chunks(spark, folder).write.parquet(f"{base}/snapshot")
-    old = spark.read.parquet(f"{base}/snapshot")
+    old = materialise(document_chunks(spark, folder), "snapshot")
     model = fit_text_embedding(old.select("content"), dim=EMBEDDING_DIM)
     schema = T.StructType([*CHUNKS.fields, T.StructField("_change_type", T.StringType())])
 

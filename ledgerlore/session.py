@@ -48,10 +48,12 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of the executors that computed them."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result that is used more than once to the shared folder and go on from there.
+
+    The rows survive the loss of the executors that computed them, and later readers take only the columns
+    they need.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

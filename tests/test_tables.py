@@ -158,6 +158,13 @@ def test_documents_from_records_and_clauses(spark, policies):
     assert assembly.waiting_period_rows(policies).count() == 2
 
 
+def test_shared_text_is_checked(spark, policies, monkeypatch):
+    clauses = spark.createDataFrame([(7, 0, "Terms", "long")], "section_no int, ordinal int, heading string, text string")
+    monkeypatch.setattr(assembly, "MAX_SHARED_BYTES", 3)
+    with pytest.raises(ValueError, match="policy_sections"):
+        assembly.policy_documents(policies, clauses)
+
+
 def test_benefit_notes_take_turns(spark):
     df = spark.range(10, 24, 2).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name"))
     rows = assembly.procedure_benefits(df, order="k", name="name", bits=2).orderBy("position").collect()
