@@ -217,14 +217,14 @@ def table_overwrite(spark: SparkSession, folder: str) -> DataFrame:
 
 _COMMENTS = {
     "customers": (
-        "Health insurance customers, one row per policyholder, linked to a policy_number.",
+        "Policyholders, one row each, with the policy they hold.",
         {
-            "customer_id": "Unique customer identifier",
-            "policy_number": "FK to the insurance policy the customer holds",
+            "customer_id": "Number of the customer",
+            "policy_number": "Policy held by the customer",
         },
     ),
     "transactions": (
-        "Financial transactions per customer: premium payments, claim payouts, and refunds.",
+        "Payments in and out, one row each.",
         {"status": "Where the payment stands"},
     ),
 }
@@ -237,8 +237,8 @@ _LISTED_SQL = "(SELECT string_agg(DISTINCT {c}, ' | ' ORDER BY {c}) FROM {t})"
     f"""
     SELECT 'customers' AS table_name, 'Table: customers' || chr(10) ||
            '  Description: {_COMMENTS["customers"][0]}' || chr(10) ||
-           '  Columns: customer_id (bigint, Unique customer identifier), name (string), ' ||
-           'policy_number (int, FK to the insurance policy the customer holds), city (string, ' ||
+           '  Columns: customer_id (bigint, Number of the customer), name (string), ' ||
+           'policy_number (int, Policy held by the customer), city (string, ' ||
            {_LISTED_SQL.format(c="c_mktsegment", t="customer")} || ')' AS context
     UNION ALL
     SELECT 'transactions', 'Table: transactions' || chr(10) ||

@@ -22,7 +22,7 @@ def routed(spark, question, previous=None):
      ("How many claims are there for customers in Hyderabad?", "SQL"),
      ("How do I file a cashless claim?", "VECTOR"),
      ("Is maternity covered and what is the waiting period?", "VECTOR"),
-     ('What is the policy coverage for "SecureLife Diabetes Safe"?', "VECTOR"),
+     ('What is the policy coverage for "Diabetes Safe"?', "VECTOR"),
      ("", "VECTOR")],
 )
 def test_questions_alone(spark, question, expected):
