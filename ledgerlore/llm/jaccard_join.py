@@ -48,10 +48,11 @@ def count_sketch(docs: DataFrame, k: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
 
     rows = docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    mean = rows.agg(F.sum("n")).first()[0] or 0
-    often = rows.where(F.col("n") > 4 * mean / SKETCH + 8).toArrow()
+    seen = rows.toArrow()  # at most SKETCH rows of two numbers
+    at, n = seen["at"].to_numpy(), seen["n"].to_numpy()
+    often = n > 4 * n.sum() / SKETCH + 8
     rank = np.zeros(SKETCH, np.uint8)
-    rank[often["at"].to_numpy()] = np.log2(often["n"].to_numpy().astype(float)).astype(np.uint8)
+    rank[at[often]] = np.log2(n[often]).astype(np.uint8)
     return rank
 
 

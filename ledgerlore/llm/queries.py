@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm import jaccard_join
+from ledgerlore.llm import decontamination, jaccard_join, pieces, token_count
 
 QUERIES = {}
 CHECKS = {}
@@ -46,3 +47,45 @@ JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON m.a = d.doc_id
 @query("op6_jaccard_join", JACCARD_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(C.documents(spark, folder), k=3, percent=90)
+
+
+CONTAMINATION_SQL = """
+WITH folded AS (
+  SELECT doc_id AS id, false AS item, text FROM documents UNION ALL SELECT item_id, true, text FROM benchmark),
+words AS (
+  SELECT id, item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM folded),
+item_windows AS (
+  SELECT DISTINCT id, k, array_to_string(w[i : i + k - 1], ' ') AS g
+  FROM (SELECT id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+        FROM words WHERE item AND len(w) > 0)),
+doc_windows AS (
+  SELECT id, k, i, array_to_string(w[i : i + k - 1], ' ') AS g
+  FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM words, (SELECT DISTINCT k FROM item_windows) WHERE NOT item AND len(w) >= k)),
+hits AS (SELECT d.id, d.i, d.k, m.id AS item_id FROM doc_windows d JOIN item_windows m ON d.k = m.k AND d.g = m.g),
+hit_words AS (SELECT id, count(DISTINCT p) AS n FROM (SELECT id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY id),
+hit_items AS (
+  SELECT id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS names
+  FROM (SELECT DISTINCT id, item_id::VARCHAR AS item_id FROM hits) GROUP BY id)
+SELECT w.id AS doc_id, len(w.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(t.names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hit_words h ON h.id = w.id LEFT JOIN hit_items t ON t.id = w.id WHERE NOT w.item
+"""
+
+
+@query("op2_decontamination", CONTAMINATION_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    rows = C.documents(spark, folder).select(F.col("doc_id").alias("row"), "text")
+    return decontamination.digest(decontamination.contamination(rows, C.table(spark, folder, "benchmark")))
+
+
+@query("op5_token_counts")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return token_count.token_counts(C.documents(spark, folder))
+
+
+@query("op10_sentencepiece")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    found = pieces.encoded(C.documents(spark, folder))
+    return found.select("doc_id", "n_pieces", "n_byte_pieces", F.xxhash64("pieces").alias("pieces_hash"), "decoded_equal")
