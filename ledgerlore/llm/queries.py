@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm import decontamination, jaccard_join, pieces, token_count
+from ledgerlore.llm import decontamination, jaccard_join, pieces, quality, token_count, winnowing
 
 QUERIES = {}
 CHECKS = {}
@@ -89,3 +89,13 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = pieces.encoded(C.documents(spark, folder))
     return found.select("doc_id", "n_pieces", "n_byte_pieces", F.xxhash64("pieces").alias("pieces_hash"), "decoded_equal")
+
+
+@query("op8_winnowing")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.fingerprints(C.documents(spark, folder))
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(C.documents(spark, folder), C.table(spark, folder, "labels"))
