@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm import decontamination, jaccard_join, pieces, quality, token_count, winnowing
+from ledgerlore.llm import decontamination, jaccard_join, language_model, pieces, quality, token_count, winnowing
 
 QUERIES = {}
 CHECKS = {}
@@ -99,3 +99,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_quality_classifier")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(C.documents(spark, folder), C.table(spark, folder, "labels"))
+
+
+@query("op7_lm_scoring")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.lm_scores(C.documents(spark, folder))
