@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm import decontamination, jaccard_join, language_model, pieces, quality, token_count, winnowing
+from ledgerlore.llm import decontamination, jaccard_join, language_model, pieces, quality, substring_dedup, token_count, winnowing
 
 QUERIES = {}
 CHECKS = {}
@@ -104,3 +104,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_lm_scoring")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.lm_scores(C.documents(spark, folder))
+
+
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.paragraph_repeats(C.documents(spark, folder))
