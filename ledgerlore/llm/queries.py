@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm import decontamination, jaccard_join, language_model, pieces, quality, substring_dedup, token_count, winnowing
+from ledgerlore.llm import decontamination, jaccard_join, language_model, pieces, quality, substring_dedup, token_count, url_filter, warc, winnowing
 
 QUERIES = {}
 CHECKS = {}
@@ -109,3 +109,25 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_substring_dedup")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.paragraph_repeats(C.documents(spark, folder))
+
+
+@query("op3_url_filter")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judged(C.table(spark, folder, "pages"))
+
+
+WARC_SQL = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+kept AS (SELECT payload_digest, max(page_id) AS page_id FROM payloads WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN k.page_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN k.page_id <> p.page_id THEN k.page_id END AS refers_to
+FROM payloads p LEFT JOIN kept k ON k.payload_digest = p.payload_digest AND p.payload_bytes >= 1000
+"""
+
+
+@query("op4_warc", WARC_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(C.table(spark, folder, "pages")).drop("uri")
