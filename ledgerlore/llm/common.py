@@ -118,11 +118,10 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, weight: str, how:
     return many.unionByName(few).select(*rows.columns, *[F.col("__light")[c].alias(c) for c in values])
 
 
-def id_filter(ids: DataFrame, column: str) -> np.ndarray:
-    """A bitmap over the hashes of ids, of a fixed size (1 MB): a first sieve that lets every wanted id pass."""
-    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+def id_filter(bits: DataFrame) -> np.ndarray:
+    """A bitmap of a fixed size (1 MB) over the one column ``bit``: a first sieve that lets every wanted id pass."""
     words = (
-        ids.select(bit.alias("bit"))
+        bits.select(F.col("bit").cast("long").alias("bit"))
         .groupBy(F.shiftright("bit", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
         .toArrow()
@@ -132,9 +131,9 @@ def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     return bitmap
 
 
-def in_filter(column: str) -> Column:
-    """The bit of an id, for ``passes``."""
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int")
+def filter_bit(column: str) -> Column:
+    """The bit of an id, for ``id_filter`` and ``passes``."""
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int").alias("bit")
 
 
 def passes(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:

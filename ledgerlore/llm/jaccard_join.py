@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm.signature_tree import self_join
+from ledgerlore.llm.signature_tree import promising, self_join, signature
 from ledgerlore.session import materialise
 
 UNIT = 1024  # sets that one task compares at once
-SKETCH = 1 << 20  # counters of the sketch (4 MB)
+SKETCH = 1 << 22  # counters of the sketch, one byte each where they travel (4 MB)
 ROWS = 500
 
 
@@ -43,16 +44,14 @@ def count_sketch(docs: DataFrame, k: int) -> np.ndarray:
             sets = [distinct_shingles(t, k, codes) for t in C.byte_texts(batch.column(0))]
             if sets:
                 counts += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        # Only the counters a task saw often travel: those that may differ in rank from the rest.
-        at = np.nonzero(counts > 1)[0]
+        # Only counters far above the task's mean travel; the others are as rare as hashing can tell.
+        at = np.nonzero(counts > 4 * counts.mean() + 2)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
 
     rows = docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    seen = rows.toArrow()  # at most SKETCH rows of two numbers
-    at, n = seen["at"].to_numpy(), seen["n"].to_numpy()
-    often = n > 4 * n.sum() / SKETCH + 8
+    seen = rows.toArrow()  # a quarter of the counters at most
     rank = np.zeros(SKETCH, np.uint8)
-    rank[at[often]] = np.log2(n[often]).astype(np.uint8)
+    rank[seen["at"].to_numpy()] = np.log2(seen["n"].to_numpy()).astype(np.uint8) + 1
     return rank
 
 
@@ -64,7 +63,7 @@ def prefix(tokens: np.ndarray, percent: int, rank: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``(doc_id, n, digest, prefix)`` for every row; ``digest`` is null for an empty set."""
+    """``(doc_id, n, digest, prefix, bits)`` for every row; ``digest`` is null for an empty set."""
     rank = docs.sparkSession.sparkContext.broadcast(count_sketch(docs, k))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,17 +76,18 @@ def shingle_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([C.fold(s) if len(s) else None for s in sets], pa.int64()),
                     C.lists([C.signed(prefix(s, percent, rank.value)) for s in sets], pa.int64()),
+                    pa.array([signature(s) for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "n", "digest", "prefix"],
+                names=["doc_id", "n", "digest", "prefix", "bits"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, n long, digest long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, n long, digest long, prefix array<long>, bits binary")
 
 
 def sets_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
     """``(id, tokens)``: sets by digest, for at least the documents in ``wanted`` (doc_id). A bitmap of fixed size
     keeps most others out early."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(C.id_filter(wanted, "doc_id"))
+    bitmap = docs.sparkSession.sparkContext.broadcast(C.id_filter(wanted.select(C.filter_bit("doc_id"))))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = C.Codes()
@@ -99,8 +99,48 @@ def sets_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
                 names=["id", "tokens"],
             )
 
-    known = docs.where(F.col("doc_id").isNotNull()).select("text", C.in_filter("doc_id").alias("bit"))
-    return known.mapInArrow(build, "id long, tokens array<long>").dropDuplicates(["id"])
+    known = docs.where(F.col("doc_id").isNotNull()).select("text", C.filter_bit("doc_id"))
+    return known.mapInArrow(build, "id long, tokens array<long>")
+
+
+def candidates(tokens: DataFrame, percent: int | None, purpose: str) -> DataFrame:
+    """``(hub, id)`` such that ids which may be linked have a hub in common; ``tokens`` is (id, n, token).
+
+    Linked sets share a token and have sizes within 100 / ``percent`` of each other. So the rows of a shared token meet
+    again by bands of that width in the logarithm of the size, each in its own band and the next: sets that only have a
+    passage in common mostly differ in size and drop out before any set is shipped. Without ``percent`` there are no bands.
+    """
+    if percent is None:
+        hubs = tokens.groupBy("token").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("m"))
+        hubs = materialise(hubs.where("m > 1"), purpose)
+        return materialise(C.join_groups(tokens, hubs, "token", "m").select("hub", "id").distinct(), purpose)
+    shared = tokens.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("m"))
+    shared = materialise(shared.where(F.col("low") != F.col("high")).select("token", "m"), purpose)
+    rows = C.join_groups(tokens, shared, "token", "m")
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent + 1e-6))
+    banded = rows.select("id", F.explode(F.array(band, band + 1)).alias("band"), "token")
+    banded = materialise(banded.select(F.xxhash64("token", "band").alias("key"), "id").distinct(), purpose)
+    near = banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count(F.lit(1)).alias("m"))
+    near = materialise(near.where(F.col("hub") != F.col("last")).drop("last"), purpose)
+    return materialise(C.join_groups(banded, near, "key", "m").select("hub", "id").distinct(), purpose)
+
+
+def sieved(members: DataFrame, bits: DataFrame, percent: int, purpose: str, unit: int = UNIT) -> DataFrame:
+    """The rows of ``members`` (hub, id) whose bitmap (``bits``: id, n, bits) allows a link within the unit.
+
+    Bitmaps take a sixteenth of the sets' room, so sets travel only for what is left. A unit above ``unit`` sets keeps
+    all, as its members are not looked at together.
+    """
+    sizes = materialise(members.groupBy("hub").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), purpose)
+    sized = materialise(C.join_groups(members, sizes, "hub", "m"), purpose)
+    rows = sized.where(F.col("m") <= unit).join(bits, "id").select("hub", "id", "n", "bits")
+
+    def sieve(group: pa.Table) -> pa.Table:
+        keep = promising(group["n"].to_numpy(), group["bits"].to_pylist(), percent)
+        return group.select(["hub", "id"]).filter(pa.array(keep))
+
+    kept = rows.groupBy("hub").applyInArrow(sieve, "hub long, id long")
+    return materialise(kept.unionByName(sized.where(F.col("m") > unit).select("hub", "id")), purpose)
 
 
 def linked(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -123,6 +163,7 @@ def linked(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def resolve(members: DataFrame, sets: DataFrame, percent: int, purpose: str, unit: int = UNIT) -> DataFrame:
     """``(id, component)`` of the ids that are linked, given ``members`` (hub, id): every pair of ids that may be
     linked has a hub in common. The hub is a member of its own unit. Both arguments should be written tables."""
+    # the hub itself may have dropped out, so each unit is numbered by it but joined to whoever is left
     sizes = materialise(members.groupBy("hub").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), purpose)
     sized = materialise(C.join_groups(members, sizes, "hub", "m"), purpose)
     chunks = F.ceil(F.col("m") / unit).cast("int")
@@ -187,14 +228,14 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, unit: int
     # Equal digests are equal sets with equal prefixes, so any of them will do.
     groups = materialise(
         filled.groupBy("digest").agg(
-            F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("prefix").alias("prefix")
+            F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("prefix").alias("prefix"), F.first("n").alias("n"), F.first("bits").alias("bits")
         ),
         "jaccard",
     )
-    tokens = groups.select(F.col("digest").alias("id"), F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count(F.lit(1)).alias("m"))
-    shared = materialise(shared.where(F.col("hub") != F.col("last")).drop("last"), "jaccard")
-    members = materialise(C.join_groups(tokens, shared, "token", "m").select("hub", "id").distinct(), "jaccard")
+    tokens = groups.select(F.col("digest").alias("id"), "n", F.explode("prefix").alias("token"))
+    members = candidates(tokens, percent, "jaccard")
+    bits = groups.select(F.col("digest").alias("id"), "n", "bits")
+    members = sieved(members, bits, percent, "jaccard", unit)
     wanted = groups.join(members.select(F.col("id").alias("digest")).distinct(), "digest", "left_semi")
     sets = materialise(sets_of(docs, k, wanted.select(F.col("first").alias("doc_id"))), "jaccard")
     found = materialise(resolve(members, sets, percent, "jaccard", unit), "jaccard")

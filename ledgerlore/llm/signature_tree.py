@@ -104,3 +104,43 @@ def self_join(sets: list[np.ndarray], percent: int, known: np.ndarray | None = N
             found.append((int(order[a]), int(order[b])))
             component[component == component[b]] = component[a]
     return found
+
+
+def signature(tokens: np.ndarray) -> bytes:
+    """Bitmap of a set, with two to four bits per token, as bytes."""
+    width = 64
+    while width < 2 * len(tokens) and width < 1 << 17:
+        width *= 2
+    bits = np.zeros(width, np.uint8)
+    bits[((tokens >> np.uint64(7)) % np.uint64(width)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def folded(signatures: list[bytes]) -> np.ndarray:
+    """Bitmaps of one width, the smallest among them: a wider one is the OR of its halves, as widths are powers of two."""
+    width = min(map(len, signatures))
+    rows = [np.bitwise_or.reduce(np.frombuffer(s, np.uint8).reshape(-1, width), axis=0) for s in signatures]
+    return np.ascontiguousarray(np.stack(rows)).view(np.uint64)
+
+
+def promising(sizes: np.ndarray, signatures: list[bytes], percent: int) -> np.ndarray:
+    """Which sets may be linked to another one, by their bitmaps and sizes alone; no linked set is left out."""
+    maps = folded(signatures)
+    order = np.argsort(sizes, kind="stable")
+    maps, n = maps[order], sizes[order]
+    slack = n - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+    share = percent / (100 + percent)
+    out = np.zeros(len(n), bool)
+    for i in range(len(n) - 1):
+        last = np.searchsorted(n, 100 * n[i] // percent, side="right")
+        if last <= i + 1:
+            continue
+        near = slice(i + 1, last)
+        most = np.bitwise_count(maps[near] & maps[i]).sum(axis=1, dtype=np.int64) + np.minimum(slack[near], slack[i])
+        linked = most + 1e-6 >= share * (n[near] + n[i])
+        if linked.any():
+            out[i] = True
+            out[near] |= linked
+    keep = np.zeros(len(n), bool)
+    keep[order] = out
+    return keep

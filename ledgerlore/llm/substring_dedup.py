@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm.jaccard_join import resolve
+from ledgerlore.llm.jaccard_join import candidates, resolve
 from ledgerlore.session import materialise
 
 SHINGLE, PERCENT = 5, 80
@@ -94,24 +94,31 @@ def described(docs: DataFrame, least: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, least: int, texts: DataFrame) -> DataFrame:
-    """``(id, tokens)``: shingle sets of at least the paragraphs in ``texts`` (id, doc_id)."""
-    context = docs.sparkSession.sparkContext
-    shipped = context.broadcast(C.id_filter(texts, "doc_id"))
+    """``(id, tokens)``: the shingle sets of the paragraphs ``texts`` (id, doc_id), each from that document."""
+    text_bit = F.col("id").bitwiseAND(C.FILTER_BITS - 1).alias("bit")
+    sieves = C.id_filter(texts.select(C.filter_bit("doc_id"))), C.id_filter(texts.select(text_bit))
+    shipped = docs.sparkSession.sparkContext.broadcast(sieves)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_docs, of_texts = shipped.value
         codes = C.Codes()
         for batch in C.arrow_rows(batches, 200):
-            batch = batch.filter(pa.array(C.passes(shipped.value, batch.column(1).to_numpy())))
-            ids, sets = [], []
-            for text in C.byte_texts(batch.column(0)):
-                for _, words in paragraphs(text, least)[1]:
-                    ids.append(text_id(words))
-                    sets.append(C.signed(np.unique(C.shingle_codes(C.word_codes(words, codes), SHINGLE))))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), C.lists(sets, pa.int64())], names=["id", "tokens"])
-
-    rows = docs.select("text", C.in_filter(F.col("doc_id").cast("long")).alias("bit"))
-    built = rows.mapInArrow(build, "id long, tokens array<long>")
-    return built.join(texts.select("id"), "id", "left_semi").dropDuplicates(["id"])
+            batch = batch.filter(pa.array(C.passes(of_docs, batch.column(2).to_numpy())))
+            owners, ids, sets = [], [], []
+            for doc, text in zip(batch.column(0).to_pylist(), C.byte_texts(batch.column(1))):
+                parts = [words for _, words in paragraphs(text, least)[1]]
+                names = np.array([text_id(words) for words in parts], np.int64)
+                for i in np.flatnonzero(C.passes(of_texts, names & (C.FILTER_BITS - 1))):
+                    owners.append(doc)
+                    ids.append(names[i])
+                    sets.append(C.signed(np.unique(C.shingle_codes(C.word_codes(parts[i], codes), SHINGLE))))
+            columns = [pa.array(ids, pa.int64()), pa.array(owners, pa.int64()), C.lists(sets, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "doc_id", "tokens"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text", C.filter_bit("doc_id"))
+    built = rows.mapInArrow(build, "id long, doc_id long, tokens array<long>")
+    same = [built["id"] == texts["id"], built["doc_id"].eqNullSafe(texts["doc_id"])]
+    return built.join(texts, same, "left_semi").select("id", "tokens")
 
 
 def repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -136,9 +143,7 @@ def repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PERCENT) ->
         "paragraphs",
     )
     tokens = texts.select("id", F.explode("bands").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count(F.lit(1)).alias("m"))
-    shared = materialise(shared.where(F.col("hub") != F.col("last")).drop("last"), "paragraphs")
-    members = materialise(C.join_groups(tokens, shared, "token", "m").select("hub", "id").distinct(), "paragraphs")
+    members = candidates(tokens, None, "paragraphs")
     wanted = texts.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("first.doc_id").alias("doc_id"))
     sets = materialise(sets_of(docs, least, materialise(wanted, "paragraphs")), "paragraphs")
     found = materialise(resolve(members, sets, percent, "paragraphs"), "paragraphs")
