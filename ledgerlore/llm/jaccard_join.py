@@ -225,16 +225,15 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, unit: int
     """
     described = materialise(shingle_sets(docs, k, percent), "jaccard")
     filled = described.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    # Equal digests are equal sets with equal prefixes, so any of them will do.
     groups = materialise(
-        filled.groupBy("digest").agg(
-            F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("prefix").alias("prefix"), F.first("n").alias("n"), F.first("bits").alias("bits")
-        ),
-        "jaccard",
+        filled.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "jaccard"
     )
-    tokens = groups.select(F.col("digest").alias("id"), "n", F.explode("prefix").alias("token"))
+    # Copies bring the same tokens under the same digest, so they need not be taken out before the tokens meet.
+    tokens = filled.select(F.col("digest").alias("id"), "n", F.explode("prefix").alias("token"))
     members = candidates(tokens, percent, "jaccard")
-    bits = groups.select(F.col("digest").alias("id"), "n", "bits")
+    firsts = groups.join(members.select(F.col("id").alias("digest")).distinct(), "digest", "left_semi")
+    same = [filled["digest"] == firsts["digest"], filled["doc_id"] == firsts["first"]]
+    bits = filled.join(firsts, same, "left_semi").select(F.col("digest").alias("id"), "n", "bits")
     members = sieved(members, bits, percent, "jaccard", unit)
     wanted = groups.join(members.select(F.col("id").alias("digest")).distinct(), "digest", "left_semi")
     sets = materialise(sets_of(docs, k, wanted.select(F.col("first").alias("doc_id"))), "jaccard")
