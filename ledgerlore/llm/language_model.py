@@ -4,7 +4,7 @@ Words are cut into pieces of a public vocabulary by greedy longest match. The mo
 from the pieces before it (one attention layer over a window of ``LENGTH``, with a residual path), and counts over the
 whole training corpus give the piece within its class; classes are bands of frequency, kept apart for pieces that begin
 a word and pieces that continue one. Counts of pairs of neighbouring pieces sharpen the second factor where a pair is
-frequent. A frequent word may also be drawn whole from the word counts, with probability ``WHOLE``; the score of a word is
+frequent, and give a second opinion on the whole piece that is mixed in evenly. A frequent word may also be drawn whole from the word counts, with probability ``WHOLE``; the score of a word is
 that of the mixture of both ways. Long texts are scored in windows that overlap, each piece once.
 
 Training is data-parallel: in each round every task starts from the same weights, learns from a fixed share of the word
@@ -374,20 +374,20 @@ class Logs(dict):
 
 
 def text_scores(
-    flat: np.ndarray, lengths: np.ndarray, model: Attention, class_of: np.ndarray, in_class: np.ndarray, pairs: Pairs | None = None
+    flat: np.ndarray, lengths: np.ndarray, model: Attention, class_of: np.ndarray, in_class: np.ndarray, pairs: Pairs
 ) -> np.ndarray:
     """log10 of the probability of each piece; every piece is scored in one window."""
     at, real, scored = windows(lengths)
     before = inputs_of(flat, lengths)
     target = class_of[flat]
-    value = pairs.sharpen(before, flat, class_of, in_class[flat]) if pairs else in_class[flat]
+    value, alone = pairs.sharpen(before, flat, class_of, in_class[flat])
     for i in range(0, len(at), WINDOWS):
         part = slice(i, i + WINDOWS)
         h = model.forward(before[at[part]])[-1]
         rows = scored[part]
         place = at[part][rows]
         value[place] += model.log_odds(h[rows], target[place]) / np.log(10)
-    return value
+    return np.log10(0.5 * 10**value + 0.5 * alone)
 
 
 def mixed_scores(pieces: np.ndarray, of_word: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -403,16 +403,20 @@ class Pairs:
 
     STRENGTH = 20.0
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, class_of: np.ndarray, in_class: np.ndarray):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, class_of: np.ndarray, pieces: np.ndarray):
         order = np.argsort(keys)
         self.keys, self.counts = keys[order], counts[order].astype(float)
         group = (self.keys >> 16) * (2 * BANDS + 1) + class_of[self.keys & 0xFFFF]
         self.groups, at = np.unique(group, return_inverse=True)
         self.totals = np.bincount(at, weights=self.counts, minlength=len(self.groups))
+        self.after = np.bincount(self.keys >> 16, weights=self.counts, minlength=len(pieces))
+        self.pieces = pieces
+        self.plain = (pieces + 1.0) / (pieces.sum() + len(pieces))
 
-    def sharpen(self, before: np.ndarray, piece: np.ndarray, class_of: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    def sharpen(self, before: np.ndarray, piece: np.ndarray, class_of: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of each piece within its class, and the probability of the piece after the one before it alone."""
         if not len(self.keys):
-            return plain.copy()
+            return plain.copy(), self.plain[piece]
         codes = (before.astype(np.int64) << 16) | piece
         distinct, back = np.unique(codes, return_inverse=True)
         at = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
@@ -422,7 +426,11 @@ class Pairs:
         total = np.where(self.groups[at] == group, self.totals[at], 0.0)
         base = np.empty(len(distinct))
         base[back] = plain
-        return np.log10((n + self.STRENGTH * 10**base) / (total + self.STRENGTH))[back]
+        inside = np.log10((n + self.STRENGTH * 10**base) / (total + self.STRENGTH))
+        first, last = distinct >> 16, distinct & 0xFFFF
+        seen = np.maximum(self.pieces[first], self.after[first])
+        alone = (n + (seen - self.after[first] + self.STRENGTH) * self.plain[last]) / (seen + self.STRENGTH)
+        return inside[back], alone[back]
 
 
 def lm_scores(docs: DataFrame, path: str = PIECES) -> DataFrame:
@@ -435,13 +443,13 @@ def lm_scores(docs: DataFrame, path: str = PIECES) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out"))
     corpus = Corpus(rows.where(~F.col("held_out")), path)
     context = docs.sparkSession.sparkContext
-    shipped = context.broadcast((corpus.weights, corpus.class_of, corpus.in_class, corpus.pairs))
+    shipped = context.broadcast((corpus.weights, corpus.class_of, corpus.in_class, corpus.pairs, corpus.piece_counts))
     tokens, ends = corpus.tokens, corpus.ends
     vocab, frequent = corpus.vocab, corpus.frequent
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, class_of, in_class, counted = shipped.value
-        pairs = Pairs(*counted, class_of, in_class)
+        weights, class_of, in_class, counted, piece_counts = shipped.value
+        pairs = Pairs(*counted, class_of, piece_counts)
         model, segments, logs = Attention(weights), Segments(*vocab.value[:2]), Logs(*frequent.value)
         for batch in C.arrow_rows(batches, 100):
             texts = [words_of(t) for t in C.byte_texts(batch.column(1))]
