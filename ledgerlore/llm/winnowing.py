@@ -44,7 +44,7 @@ def gram_hashes(chars: np.ndarray, k: int = K) -> np.ndarray:
         if bits:
             m = len(h) - done
             h = h[:m] * power + h[done : done + m]
-            power = power * power
+            power = np.uint64(int(power) ** 2 % (1 << 64))
             done *= 2
     return (C.mixed(out) >> np.uint64(32)).astype(np.uint32)
 
