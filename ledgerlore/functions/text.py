@@ -14,6 +14,7 @@ ROWS_JSON_CHARS = 3000
 WRITE_KEYWORDS = (
     "INSERT", "UPDATE", "DELETE", "DROP", "ALTER", "TRUNCATE", "CREATE", "GRANT", "REVOKE", "MERGE",
 )
+NO_STATEMENT = "No statement was given."
 REFUSED = "Generated query failed safety check; refused to execute."
 
 # Entities found in the page corpus; the ampersand comes last so that no entity is decoded twice.
@@ -107,5 +108,6 @@ def is_read_only(statement: Column | str) -> Column:
 
 
 def guard_message(statement: Column | str) -> Column:
-    """The refusal text for a statement that must not run; null for a clean one."""
-    return F.when(~is_read_only(statement), F.lit(REFUSED))
+    """The refusal text for a statement that must not run, or is missing; null for a clean one."""
+    statement = _col(statement)
+    return F.when(statement.isNull(), F.lit(NO_STATEMENT)).when(~is_read_only(statement), F.lit(REFUSED))

@@ -79,3 +79,7 @@ def test_fence(spark, raw, clean):
 def test_guard(spark, statement, allowed):
     assert one(spark, X.is_read_only("t"), t=statement) is allowed
     assert one(spark, X.guard_message("t"), t=statement) == (None if allowed else X.REFUSED)
+
+
+def test_missing_statement_does_not_run(spark):
+    assert one(spark, X.guard_message("t"), t=None) == X.NO_STATEMENT
