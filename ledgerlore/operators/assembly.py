@@ -40,17 +40,16 @@ def procedure_benefits(procedures: DataFrame, *, order: str, name: str, bits: in
 
 
 def waiting_period_rows(policies: DataFrame) -> DataFrame:
-    """One row per waiting period of a policy."""
-    return policies.select(
-        "policy_number", F.explode(F.map_entries("waiting_periods")).alias("entry")
-    ).select("policy_number", F.col("entry.key").alias("period"), F.col("entry.value").alias("length"))
+    """One row per waiting period of a policy, with its place in the policy's list."""
+    return policies.select("policy_number", F.posexplode("waiting_periods").alias("ordinal", "entry")).select(
+        "policy_number", "ordinal", "entry.period", "entry.length"
+    )
 
 
 def _own_lines() -> list[tuple[int, Column]]:
     def listed(column: str) -> Column:
         return F.coalesce(F.col(column), F.array().cast("array<string>"))
 
-    periods = F.array_sort(F.map_entries("waiting_periods"))
     return [
         (
             1,
@@ -63,7 +62,7 @@ def _own_lines() -> list[tuple[int, Column]]:
                 F.concat(F.lit("Premium: "), F.col("premium")),
             ),
         ),
-        (2, F.transform(periods, lambda e: F.concat(e["key"], F.lit(": "), e["value"]))),
+        (2, F.transform("waiting_periods", lambda e: F.concat(e["period"], F.lit(": "), e["length"]))),
         (3, listed("inclusions")),
         (4, listed("exclusions")),
         (5, listed("claim_process")),

@@ -46,10 +46,21 @@ def latest_change(feed: DataFrame, key: str, version: str | None = None) -> Data
     return rows.groupBy(key).agg(F.max_by(F.struct(*others), version).alias("c")).select(key, "c.*")
 
 
+def single_changes(rows: DataFrame, key: str) -> DataFrame:
+    """The keys of ``rows``; reading them fails where a key has several changes, as nothing says which one is last."""
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    message = F.concat(F.lit(f"several changes of one {key} need a version: "), F.col(key).cast("string"))
+    return counted.select(F.when(F.col("__n") == 1, F.col(key)).otherwise(F.raise_error(message)).alias(key))
+
+
 def apply_changes(target: DataFrame, feed: DataFrame, key: str, version: str | None = None) -> DataFrame:
-    """The target after the feed: changed keys leave it, inserted and updated rows come in."""
+    """The target after the feed: changed keys leave it, inserted and updated rows come in.
+
+    Without a ``version`` a key may change once in a feed; a second change of it is an error.
+    """
     decided = latest_change(feed, key, version)
-    kept = target.join(decided.select(key), key, "left_anti")
+    keys = decided.select(key) if version else single_changes(decided, key)
+    kept = target.join(keys, key, "left_anti")
     return kept.select(*target.columns).unionByName(
         decided.where(F.col("_change_type") != DELETE).select(*target.columns)
     )

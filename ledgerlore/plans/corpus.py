@@ -260,7 +260,7 @@ def schema_context(spark: SparkSession, folder: str) -> DataFrame:
     described = tables.schema_context(
         spark,
         {
-            f"{namespace}.customers": ["name", "city"],
+            f"{namespace}.customers": ["city"],
             f"{namespace}.transactions": ["transaction_type", "status"],
         },
     )

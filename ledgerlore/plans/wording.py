@@ -31,11 +31,14 @@ def policy_records(spark: SparkSession, folder: str) -> DataFrame:
             F.concat("coverage_type", F.lit(" Health")).alias("insurer"),
             F.coalesce("holders", F.lit(0)).cast("string").alias("sum_insured"),
             F.concat((number * 100).cast("string"), F.lit(" / year")).alias("premium"),
-            F.map_from_arrays(
-                F.array(F.lit("Specific illness"), F.lit("Initial")),
-                F.array(
-                    F.concat((number + 12).cast("string"), F.lit(" months")),
-                    F.concat((number + 30).cast("string"), F.lit(" days")),
+            F.array(
+                F.struct(
+                    F.lit("Specific illness").alias("period"),
+                    F.concat((number + 12).cast("string"), F.lit(" months")).alias("length"),
+                ),
+                F.struct(
+                    F.lit("Initial").alias("period"),
+                    F.concat((number + 30).cast("string"), F.lit(" days")).alias("length"),
                 ),
             ).alias("waiting_periods"),
             "inclusions",
@@ -69,8 +72,8 @@ _LINES_SQL = f"""
                     'Coverage Type: ' || coverage_type, 'Sum Insured: ' || holders,
                     'Premium: ' || (policy_number * 100) || ' / year'] AS lines FROM ({_RECORDS_SQL})
             UNION ALL SELECT policy_number, 2, 'Waiting Periods',
-                   ['Initial: ' || (policy_number + 30) || ' days',
-                    'Specific illness: ' || (policy_number + 12) || ' months'] FROM ({_RECORDS_SQL})
+                   ['Specific illness: ' || (policy_number + 12) || ' months',
+                    'Initial: ' || (policy_number + 30) || ' days'] FROM ({_RECORDS_SQL})
             UNION ALL SELECT policy_number, 3, 'Inclusions / What''s Covered', inclusions FROM ({_RECORDS_SQL})
             UNION ALL SELECT policy_number, 4, 'Exclusions / What''s Not Covered',
                    ['Self-inflicted injuries', 'War'] FROM ({_RECORDS_SQL})
@@ -128,8 +131,9 @@ def procedure_benefits(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "waiting_periods",
     """
-    SELECT n_nationkey AS policy_number, 'Initial' AS period, (n_nationkey + 30) || ' days' AS length FROM nation
-    UNION ALL SELECT n_nationkey, 'Specific illness', (n_nationkey + 12) || ' months' FROM nation
+    SELECT n_nationkey AS policy_number, CAST(0 AS INTEGER) AS ordinal, 'Specific illness' AS period,
+           (n_nationkey + 12) || ' months' AS length FROM nation
+    UNION ALL SELECT n_nationkey, 1, 'Initial', (n_nationkey + 30) || ' days' FROM nation
     """,
 )
 def waiting_periods(spark: SparkSession, folder: str) -> DataFrame:

@@ -50,7 +50,10 @@ POLICIES = T.StructType(
         T.StructField("coverage_type", T.StringType()),
         T.StructField("sum_insured", T.StringType()),
         T.StructField("premium", T.StringType()),
-        T.StructField("waiting_periods", T.MapType(T.StringType(), T.StringType())),
+        T.StructField(
+            "waiting_periods",
+            T.ArrayType(T.StructType([T.StructField("period", T.StringType()), T.StructField("length", T.StringType())])),
+        ),
         T.StructField("inclusions", T.ArrayType(T.StringType())),
         T.StructField("exclusions", T.ArrayType(T.StringType())),
         T.StructField("claim_process", T.ArrayType(T.StringType())),

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_LISTED_VALUES = 20
-
 
 def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -40,29 +38,23 @@ def comment_table(spark: SparkSession, table: str, comment: str, columns: Mappin
         spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{column}` COMMENT {quoted(text)}")
 
 
-def listed_values(df: DataFrame, columns: Sequence[str], limit: int = MAX_LISTED_VALUES) -> DataFrame:
-    """``(column_name, listed)``: the values of the columns that have few, for the schema description.
+def listed_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column_name, listed)``: all values of the columns that the caller declares as enumerations.
 
-    The values are distinct rows before they meet, and of those only ``limit + 1`` per column are gathered:
-    enough to tell that a column has too many to list.
+    Values are distinct before they meet, so a list is as long as its enumeration, whatever the number of rows.
     """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in columns])
     )
     distinct = df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull()).distinct()
-    ranked = distinct.withColumn("rn", F.row_number().over(Window.partitionBy("column_name").orderBy("v")))
-    gathered = (
-        ranked.where(F.col("rn") <= limit + 1)
-        .groupBy("column_name")
-        .agg(F.array_sort(F.collect_list("v")).alias("vs"))
-    )
-    return gathered.where(F.size("vs") <= limit).select("column_name", F.array_join("vs", " | ").alias("listed"))
+    gathered = distinct.groupBy("column_name").agg(F.array_sort(F.collect_list("v")).alias("vs"))
+    return gathered.select("column_name", F.array_join("vs", " | ").alias("listed"))
 
 
 def schema_context(spark: SparkSession, tables: Mapping[str, Sequence[str]]) -> DataFrame:
     """``(table_name, context)``: name, description and columns with types, comments and listed values.
 
-    ``tables`` maps each catalog table to the columns whose values are worth listing.
+    ``tables`` maps each catalog table to its enumerations, the columns whose values are listed.
     """
     lines = []
     values: DataFrame | None = None

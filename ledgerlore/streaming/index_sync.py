@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlore.operators.changes import DELETE, latest_change
+from ledgerlore.operators.changes import DELETE, latest_change, single_changes
 from ledgerlore.streaming.keyed_log import newest, read_log, write_batch
 
 
@@ -27,12 +27,14 @@ def sync_index(
 
     The first run finds no checkpoint and takes everything; an idle run does nothing. Returns the number of
     micro-batches of this run. ``schema`` is the chunk columns with ``_change_type`` and, when one key can
-    change twice in a run, the ``version`` column.
+    change twice in a run, the ``version`` column; without it such a run fails before it writes anything.
     """
     ran = []
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         decided = latest_change(batch, key, version)
+        if version is None:
+            single_changes(decided, key).write.format("noop").mode("overwrite").save()  # reads the keys alone
         deleted = F.col("_change_type") == DELETE
         rows = decided.withColumn("deleted", deleted).drop("_change_type", *([version] if version else []))
         write_batch(embed(rows) if embed else rows, index, batch_id)

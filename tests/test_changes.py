@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -42,6 +43,19 @@ def test_latest_version_decides(spark):
     assert {r["id"]: (r["a"], r["b"]) for r in out} == {2: ("z", 5), 3: ("n", 2)}
 
 
+def test_second_change_without_version_is_an_error(spark, tmp_path):
+    old = frame(spark, {1: ("x", 0)})
+    feed = spark.createDataFrame(
+        [(2, "n", 1, "insert"), (2, "m", 2, "update_postimage")], SCHEMA + ", _change_type string"
+    )
+    with pytest.raises(Exception, match="need a version"):
+        apply_changes(old, feed, "id").collect()
+    source, index, checkpoint = (str(tmp_path / n) for n in ("in", "index", "cp"))
+    feed.write.parquet(source)
+    with pytest.raises(Exception, match="need a version"):
+        sync_index(spark, source, feed.schema, index, checkpoint, key="id")
+
+
 def test_index_follows_its_source(spark, tmp_path):
     source, index, checkpoint = (str(tmp_path / n) for n in ("in", "index", "cp"))
     schema = T.StructType.fromDDL("chunk_id string, content string, _change_type string, v int")

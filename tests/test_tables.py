@@ -15,7 +15,7 @@ from ledgerlore.sources.questions import question_batch
 def policies(spark):
     rows = [
         {"policy_number": "P-1", "policy_name": "Shield Senior", "coverage_type": "Senior Citizen", "insurer": "Co",
-         "sum_insured": "5", "premium": "1", "waiting_periods": {"Initial": "30 days", "Existing": "36 months"},
+         "sum_insured": "5", "premium": "1", "waiting_periods": [("Initial", "30 days"), ("Existing", "36 months")],
          "inclusions": ["a", "b"], "exclusions": ["war"], "claim_process": ["notify"], "network_note": "many"},
         {"policy_number": "P-2", "policy_name": "Safe", "coverage_type": "Diabetes"},
     ]
@@ -107,8 +107,8 @@ def test_tables_comments_and_context(spark, customers):
         "Table: ctx.people\n  Description: People's table\n"
         "  Columns: customer_id (string, it's the key), city (string, Delhi | Pune)"
     )
-    values = tables.listed_values(customers, ["city", "customer_id"], limit=2).collect()
-    assert [tuple(r) for r in values] == [("city", "Delhi | Pune")]
+    many = spark.range(25).select(F.format_string("%02d", "id").alias("code"))
+    assert tables.listed_values(many, ["code"]).first()["listed"] == " | ".join(f"{i:02d}" for i in range(25))
     assert tables.schema_context(spark, {"ctx.people": []}).count() == 1
 
 
@@ -124,6 +124,9 @@ def test_files(spark, tmp_path):
 def test_question_batch(spark):
     df = spark.createDataFrame([("a", "h")], "text string, history_json string")
     assert question_batch(df).select("question", "history_json").first() == ("a", "h")
+    numbered = question_batch(df.union(df).repartition(2))
+    again = [sorted(r["qid"] for r in numbered.repartition(n).collect()) for n in (1, 3)]
+    assert again[0] == again[1] and len(set(again[0])) == 2
     df = spark.createDataFrame([(7, "x", "q")], "qid int, other string, question string")
     assert tuple(question_batch(df).first()) == (7, "q", None)
 
@@ -150,12 +153,13 @@ def test_documents_from_records_and_clauses(spark, policies):
     )
     documents = {r["policy_number"]: r["document"] for r in assembly.policy_documents(policies, clauses).collect()}
     assert documents["P-1"].startswith("Policy\nShield Senior\nInsurer: Co\n")
-    assert "Waiting Periods\nExisting: 36 months\nInitial: 30 days\nInclusions" in documents["P-1"]
+    assert "Waiting Periods\nInitial: 30 days\nExisting: 36 months\nInclusions" in documents["P-1"]
     assert all(d.endswith("Terms\nt1\nt2\nFAQ\nq1") for d in documents.values())
     sections = assembly.policy_sections(policies.where("policy_number = 'P-1'"), clauses)
     assert sections.where("policy_number is null").count() == 3
     assert sections.where("section_no = 3").select("text").orderBy("ordinal").collect() == [("a",), ("b",)]
-    assert assembly.waiting_period_rows(policies).count() == 2
+    periods = assembly.waiting_period_rows(policies).orderBy("ordinal").collect()
+    assert [tuple(r) for r in periods] == [("P-1", 0, "Initial", "30 days"), ("P-1", 1, "Existing", "36 months")]
 
 
 def test_shared_text_is_checked(spark, policies, monkeypatch):
