@@ -3,9 +3,8 @@
 Words are cut into pieces of a public vocabulary by greedy longest match. The model gives the class of the next piece
 from the pieces before it (one attention layer over a window of ``LENGTH``, with a residual path), and counts over the
 whole training corpus give the piece within its class; classes are bands of frequency, kept apart for pieces that begin
-a word and pieces that continue one. Counts of pairs of neighbouring pieces sharpen the second factor where a pair is
-frequent, and give a second opinion on the whole piece that is mixed in evenly. A frequent word may also be drawn whole from the word counts, with probability ``WHOLE``; the score of a word is
-that of the mixture of both ways. Long texts are scored in windows that overlap, each piece once.
+a word and pieces that continue one. The score of a word is that of its pieces: no count of words or of pairs enters it,
+so none has to be left out on a large corpus. Long texts are scored in windows that overlap, each piece once.
 
 Training is data-parallel: in each round every task starts from the same weights, learns from a fixed share of the word
 runs of every training document in its partition, and the weights are averaged by what they have seen, in two levels of
@@ -32,8 +31,7 @@ WIDTH, BANDS = 16, 20
 ROUNDS, SHARE, RUN = 2, 16, 24  # rounds, one word run in SHARE a round, words in a run
 WINDOWS = 256  # windows in one batch
 RATE = 0.02
-WHOLE = 0.75
-FREQUENT = 1 << 20  # words with at least 1/FREQUENT of all tokens, so at most FREQUENT of them, travel to the tasks
+FREQUENT = 1 << 20  # words with at least 1/FREQUENT of all tokens, so at most FREQUENT of them, travel to the tasks; the others are joined
 END = 2
 CHUNKS = 64
 
@@ -251,7 +249,6 @@ class Corpus:
         self.piece_counts = self._piece_counts()
         self.class_of, self.in_class = classes(self.piece_counts, vocab[2])
         self.weights = Attention.fresh(len(self.piece_counts))
-        self.pairs = self._pairs(train)
         for number in range(ROUNDS):
             self.weights = self._round(train, number)
 
@@ -275,23 +272,6 @@ class Corpus:
         counts[END] = self.ends
         return counts
 
-    def _pairs(self, train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of neighbouring pieces, of the pairs with 1/``FREQUENT`` of all: at most ``FREQUENT`` of them."""
-        vocab = self.vocab
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            segments = Segments(*vocab.value[:2])
-            for batch in C.arrow_rows(batches, 2000):
-                flat, lengths = piece_stream([words_of(t) for t in C.byte_texts(batch.column(0))], segments)
-                codes = (inputs_of(flat, lengths).astype(np.int64) << 16) | flat
-                pair, n = np.unique(codes, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n, pa.int64())], names=["pair", "n"])
-
-        total = int(self.piece_counts.sum())
-        sums = train.select("text").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-        rows = sums.where(F.col("n") * FREQUENT >= total).toArrow()
-        return rows["pair"].to_numpy(), rows["n"].to_numpy()
-
     def _round(self, train: DataFrame, number: int) -> list[np.ndarray]:
         """Weights averaged over the tasks, each from the same start; the start where nothing was learnt."""
         start = train.sparkSession.sparkContext.broadcast((self.weights, self.class_of))
@@ -374,63 +354,20 @@ class Logs(dict):
 
 
 def text_scores(
-    flat: np.ndarray, lengths: np.ndarray, model: Attention, class_of: np.ndarray, in_class: np.ndarray, pairs: Pairs
+    flat: np.ndarray, lengths: np.ndarray, model: Attention, class_of: np.ndarray, in_class: np.ndarray
 ) -> np.ndarray:
     """log10 of the probability of each piece; every piece is scored in one window."""
     at, real, scored = windows(lengths)
     before = inputs_of(flat, lengths)
     target = class_of[flat]
-    value, alone = pairs.sharpen(before, flat, class_of, in_class[flat])
+    value = in_class[flat]
     for i in range(0, len(at), WINDOWS):
         part = slice(i, i + WINDOWS)
         h = model.forward(before[at[part]])[-1]
         rows = scored[part]
         place = at[part][rows]
         value[place] += model.log_odds(h[rows], target[place]) / np.log(10)
-    return np.log10(0.5 * 10**value + 0.5 * alone)
-
-
-def mixed_scores(pieces: np.ndarray, of_word: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    """log10 scores of words by both ways: the pieces' scores summed per word, and the logs in ``whole`` (-inf if none)."""
-    spelt = np.add.reduceat(pieces, of_word)
-    return np.logaddexp((spelt + np.log10(1 - WHOLE)) * np.log(10), (whole + np.log10(WHOLE)) * np.log(10)) / np.log(10)
-
-
-class Pairs:
-    """Probability of a piece within its class, given the piece before, from counts of frequent pairs.
-
-    The counts of a pair are shrunk to the class's own distribution, which takes the mass that the pairs leave."""
-
-    STRENGTH = 20.0
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, class_of: np.ndarray, pieces: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.counts = keys[order], counts[order].astype(float)
-        group = (self.keys >> 16) * (2 * BANDS + 1) + class_of[self.keys & 0xFFFF]
-        self.groups, at = np.unique(group, return_inverse=True)
-        self.totals = np.bincount(at, weights=self.counts, minlength=len(self.groups))
-        self.after = np.bincount(self.keys >> 16, weights=self.counts, minlength=len(pieces))
-        self.pieces = pieces
-        self.plain = (pieces + 1.0) / (pieces.sum() + len(pieces))
-
-    def sharpen(self, before: np.ndarray, piece: np.ndarray, class_of: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of each piece within its class, and the probability of the piece after the one before it alone."""
-        if not len(self.keys):
-            return plain.copy(), self.plain[piece]
-        codes = (before.astype(np.int64) << 16) | piece
-        distinct, back = np.unique(codes, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
-        n = np.where(self.keys[at] == distinct, self.counts[at], 0.0)
-        group = (distinct >> 16) * (2 * BANDS + 1) + class_of[distinct & 0xFFFF]
-        at = np.minimum(np.searchsorted(self.groups, group), len(self.groups) - 1)
-        total = np.where(self.groups[at] == group, self.totals[at], 0.0)
-        base = np.empty(len(distinct))
-        base[back] = plain
-        inside = np.log10((n + self.STRENGTH * 10**base) / (total + self.STRENGTH))
-        first, last = distinct >> 16, distinct & 0xFFFF
-        seen = np.maximum(self.pieces[first], self.after[first])
-        alone = (n + (seen - self.after[first] + self.STRENGTH) * self.plain[last]) / (seen + self.STRENGTH)
-        return inside[back], alone[back]
+    return value
 
 
 def lm_scores(docs: DataFrame, path: str = PIECES) -> DataFrame:
@@ -443,33 +380,24 @@ def lm_scores(docs: DataFrame, path: str = PIECES) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out"))
     corpus = Corpus(rows.where(~F.col("held_out")), path)
     context = docs.sparkSession.sparkContext
-    shipped = context.broadcast((corpus.weights, corpus.class_of, corpus.in_class, corpus.pairs, corpus.piece_counts))
-    tokens, ends = corpus.tokens, corpus.ends
+    shipped = context.broadcast((corpus.weights, corpus.class_of, corpus.in_class))
     vocab, frequent = corpus.vocab, corpus.frequent
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, class_of, in_class, counted, piece_counts = shipped.value
-        pairs = Pairs(*counted, class_of, piece_counts)
+        weights, class_of, in_class = shipped.value
         model, segments, logs = Attention(weights), Segments(*vocab.value[:2]), Logs(*frequent.value)
         for batch in C.arrow_rows(batches, 100):
             texts = [words_of(t) for t in C.byte_texts(batch.column(1))]
-            known, sums, rare, whole = [], [], [], []
+            known, sums, rare = [], [], []
             for words in texts:
                 n = np.fromiter(map(logs.__getitem__, words), np.int64, len(words))
                 often = n[n > 0]
-                with np.errstate(divide="ignore"):
-                    whole.append(np.log10(np.append(np.maximum(n, 0), ends) / max(tokens, 1)))
                 known.append(len(often))
                 sums.append(float(np.log10(often + 1.0).sum()))
                 rare.append([w for w, c in zip(words, n.tolist()) if c < 0])
             if texts:
                 flat, lengths = piece_stream(texts, segments)
-                spelt = text_scores(flat, lengths, model, class_of, in_class, pairs)
-                sizes = [len(segments[w]) for words in texts for w in (*words, None)]
-                of_word = np.cumsum([0, *sizes[:-1]])
-                words = mixed_scores(spelt, of_word, np.concatenate(whole))
-                first = np.cumsum([0, *(len(w) + 1 for w in texts)])[:-1]
-                scores = np.add.reduceat(words, first)
+                scores = np.add.reduceat(text_scores(flat, lengths, model, class_of, in_class), np.cumsum(lengths) - lengths)
             else:
                 scores = np.empty(0)
             yield pa.RecordBatch.from_arrays(

@@ -255,6 +255,18 @@ def test_language_model(odd, none):
     assert language_model.lm_scores(none).count() == 0
 
 
+def test_score_does_not_depend_on_which_words_are_frequent(spark, monkeypatch):
+    rows = [(i, f"common words here w{i} end", "x", i) for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(1)
+    of = lambda: {r.doc_id: (r.score, r.base_score, r.n_known) for r in language_model.lm_scores(docs).collect()}
+    whole = of()
+    monkeypatch.setattr(language_model, "FREQUENT", 8)  # now only the common words travel to the tasks
+    cut = of()
+    monkeypatch.setattr(language_model, "FREQUENT", 1)  # and now none
+    for other in (cut, of()):
+        assert all(other[i] == pytest.approx(whole[i], rel=1e-6) for i in whole)
+
+
 def test_windows_score_each_piece_once():
     lengths = np.array([1, 5, 32, 33, 100, 56])
     at, real, counts = language_model.windows(lengths)
