@@ -6,9 +6,10 @@ whole training corpus give the piece within its class; classes are bands of freq
 a word and pieces that continue one. The score of a word is that of its pieces: no count of words or of pairs enters it,
 so none has to be left out on a large corpus. Long texts are scored in windows that overlap, each piece once.
 
-Training is data-parallel: in each round every task starts from the same weights, learns from a fixed share of the word
-runs of every training document in its partition, and the weights are averaged by what they have seen, in two levels of
-groups. The counts, of words and of pieces, are sums over all training documents.
+Training is data-parallel: in each round every task starts from the same weights, learns from every ``ROUNDS``-th window of
+every training document in its partition, and the weights are averaged by what they have seen, in two levels of groups.
+After the rounds every piece of every training text has been learnt from once, in the window in which it would be
+scored. The counts, of words and of pieces, are sums over all training documents.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ from ledgerlore.session import materialise
 
 LENGTH, STRIDE = 32, 24  # pieces in a window, and how far the next one lies
 WIDTH, BANDS = 16, 20
-ROUNDS, SHARE, RUN = 2, 16, 24  # rounds, one word run in SHARE a round, words in a run
+ROUNDS = 2  # each takes one window in ROUNDS, another one each time
 WINDOWS = 256  # windows in one batch
 RATE = 0.02
 FREQUENT = 1 << 20  # words with at least 1/FREQUENT of all tokens, so at most FREQUENT of them, travel to the tasks; the others are joined
@@ -169,11 +171,16 @@ class Attention:
         table[seen] -= (RATE * g / np.sqrt(state[0][seen] + 1e-10)).astype(np.float32)
 
 
-def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For texts of so many pieces, laid end to end: positions of each window's places, which are real, which count."""
+def window_numbers(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the windows of texts of so many pieces: which text, and which window of it."""
     n = np.maximum(0, -(-(lengths - LENGTH) // STRIDE)) + 1
     owner = np.repeat(np.arange(len(lengths)), n)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For texts of so many pieces, laid end to end: positions of each window's places, which are real, which count."""
+    owner, number = window_numbers(lengths)
     place = number[:, None] * STRIDE + np.arange(LENGTH)
     real = place < lengths[owner][:, None]
     counts = real & ((number[:, None] == 0) | (np.arange(LENGTH) >= LENGTH - STRIDE))
@@ -181,6 +188,14 @@ def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start + np.minimum(place, lengths[owner][:, None] - 1), real, counts
 
 
+def taken(lengths: np.ndarray, shifts: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of a round: positions of their places, and which count. In ``ROUNDS`` rounds each window comes once."""
+    owner, number = window_numbers(lengths)
+    at, _, scored = windows(lengths)
+    mine = (number + shifts[owner]) % ROUNDS == turn
+    return at[mine], scored[mine]
+
+
 def piece_stream(texts: list[list[bytes]], segments: Segments) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of word lists, each closed by the end mark, end to end; and their numbers."""
     parts = [list(itertools.chain.from_iterable(map(segments.__getitem__, words))) for words in texts]
@@ -282,51 +297,46 @@ class Corpus:
             model = Attention([w.copy() for w in weights])
             state = [np.zeros_like(w) for w in weights]
             segments = Segments(*vocab.value[:2])
-            seen, runs = 0, []
-
-            def step() -> int:
-                flat, lengths = piece_stream(runs, segments)
-                at, real, scored = windows(lengths)
-                ids, target = inputs_of(flat, lengths)[at], class_of[flat][at]
+            seen = 0
+            for batch in C.arrow_rows(batches, 100):
+                flat, lengths = piece_stream([words_of(t) for t in C.byte_texts(batch.column(0))], segments)
+                at, scored = taken(lengths, batch.column(1).to_numpy(), number)
+                ids, target = inputs_of(flat, lengths), class_of[flat]
                 for i in range(0, len(at), WINDOWS):
                     part = slice(i, i + WINDOWS)
-                    model.learn(ids[part], target[part], scored[part], state)
-                runs.clear()
-                return int(scored.sum())
-
-            for batch in C.arrow_rows(batches, 500):
-                for shift, text in zip(batch.column(1).to_pylist(), C.byte_texts(batch.column(0))):
-                    words = words_of(text)
-                    first = (number * (SHARE // ROUNDS) - shift) % SHARE
-                    runs.extend(words[i : i + RUN] for i in range(first * RUN, len(words), SHARE * RUN))
-                if len(runs) >= 2 * WINDOWS:
-                    seen += step()
-            if runs:
-                seen += step()
+                    model.learn(ids[at[part]], target[at[part]], scored[part], state)
+                seen += int(scored.sum())
             if seen:
                 flat = np.concatenate([w.ravel() for w in model.w]).astype(np.float64) * seen
-                task = int.from_bytes(np.random.default_rng().bytes(2))
+                task = TaskContext.get().partitionId()
                 chunks = np.array_split(flat, CHUNKS)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(range(CHUNKS), pa.int32()),
-                        pa.array([task % 64] * CHUNKS, pa.int32()),
+                        pa.array([task] * CHUNKS, pa.int32()),
                         pa.array([float(seen)] * CHUNKS),
                         C.lists(chunks, pa.float64()),
                     ],
-                    names=["chunk", "part", "seen", "v"],
+                    names=["chunk", "task", "seen", "v"],
                 )
 
         def add(group: pa.Table) -> pa.Table:
+            group = group.sort_by("task")  # so that a repeated run adds in the same order
             total = np.sum(C.list_rows(group["v"], np.float64), axis=0)
-            seen = sum(group["seen"].to_pylist())
-            return pa.table({"chunk": group["chunk"][:1], "seen": pa.array([seen]), "v": C.lists([total], pa.float64())})
-
-        # The part only spreads the sum over tasks, so any part will do; runs start at a place that follows from the id.
-        shift = F.pmod(F.xxhash64("doc_id"), F.lit(SHARE)).cast("int").alias("shift")
-        kind = "chunk int, seen double, v array<double>"
-        parts = train.select("text", shift).mapInArrow(learn, "chunk int, part int, seen double, v array<double>")
-        sums = parts.groupBy("chunk", "part").applyInArrow(add, kind).groupBy("chunk").applyInArrow(add, kind).toArrow()
+            return pa.table(
+                {
+                    "chunk": group["chunk"][:1],
+                    "task": group["task"][:1],
+                    "seen": pa.array([sum(group["seen"].to_pylist())]),
+                    "v": C.lists([total], pa.float64()),
+                }
+            )
+
+        # The window that a text begins with in a round follows from its id.
+        shift = F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)).cast("int").alias("shift")
+        kind = "chunk int, task int, seen double, v array<double>"
+        parts = train.select("text", shift).mapInArrow(learn, kind)
+        sums = parts.groupBy("chunk", F.pmod("task", F.lit(64))).applyInArrow(add, kind).groupBy("chunk").applyInArrow(add, kind).toArrow()
         if not sums.num_rows:
             return self.weights
         order = np.argsort(sums["chunk"].to_numpy())

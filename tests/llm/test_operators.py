@@ -273,6 +273,16 @@ def test_windows_score_each_piece_once():
     assert sorted(at[counts].tolist()) == list(range(int(lengths.sum()))) and (counts <= real).all()
 
 
+def test_rounds_learn_from_every_piece_once(spark, monkeypatch):
+    lengths, shifts = np.array([1, 5, 32, 33, 100, 56, 2000]), np.array([0, 1, 0, 1, 0, 1, 1])
+    turns = [language_model.taken(lengths, shifts, i) for i in range(language_model.ROUNDS)]
+    assert sorted(p for at, scored in turns for p in at[scored].tolist()) == list(range(int(lengths.sum())))
+    # two runs on the same partitions learn the same weights
+    docs = spark.createDataFrame([(i, f"{PASSAGE} {i}", "x", i) for i in range(60)], SCHEMA).repartition(3, "doc_id")
+    one, two = (language_model.Corpus(docs.where(~language_model.held_out())).weights for _ in range(2))
+    assert all((a == b).all() for a, b in zip(one, two))
+
+
 def test_url_rules(spark):
     urls = [
         (1, "http://WWW.Example.com/en/a?x=1"), (2, "https://m.example.com/en/"), (3, "https://a.net/es/q#f"), (4, "ftp://a.org/en/"),
