@@ -85,8 +85,8 @@ def shingle_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
-    """``(id, tokens)``: sets by digest, for at least the documents in ``wanted`` (doc_id). A bitmap of fixed size
-    keeps most others out early."""
+    """``(id, tokens)``: the sets of ``wanted`` (id, doc_id), each from that document and once. A bitmap of fixed size
+    keeps most other documents out early; copies that pass it fall to the join with ``wanted``."""
     bitmap = docs.sparkSession.sparkContext.broadcast(C.id_filter(wanted.select(C.filter_bit("doc_id"))))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,12 +95,19 @@ def sets_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
             batch = batch.filter(pa.array(C.passes(bitmap.value, batch.column(1).to_numpy())))
             sets = [distinct_shingles(t, k, codes) for t in C.byte_texts(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([C.fold(s) for s in sets], pa.int64()), C.lists([C.signed(s) for s in sets], pa.int64())],
-                names=["id", "tokens"],
+                [
+                    pa.array([C.fold(s) for s in sets], pa.int64()),
+                    batch.column(2),
+                    C.lists([C.signed(s) for s in sets], pa.int64()),
+                ],
+                names=["id", "doc_id", "tokens"],
             )
 
-    known = docs.where(F.col("doc_id").isNotNull()).select("text", C.filter_bit("doc_id"))
-    return known.mapInArrow(build, "id long, tokens array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull())
+    built = rows.select("text", C.filter_bit("doc_id"), "doc_id").mapInArrow(build, "id long, doc_id long, tokens array<long>")
+    # Rows that repeat both id and text become one before they are dealt out; one shuffle serves this and the join.
+    once = built.groupBy("id", "doc_id").agg(F.first("tokens").alias("tokens"))
+    return once.join(wanted.select("id", "doc_id"), ["id", "doc_id"], "left_semi").select("id", "tokens")
 
 
 def candidates(tokens: DataFrame, percent: int | None, purpose: str) -> DataFrame:
@@ -236,7 +243,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, unit: int
     bits = filled.join(firsts, same, "left_semi").select(F.col("digest").alias("id"), "n", "bits")
     members = sieved(members, bits, percent, "jaccard", unit)
     wanted = groups.join(members.select(F.col("id").alias("digest")).distinct(), "digest", "left_semi")
-    sets = materialise(sets_of(docs, k, wanted.select(F.col("first").alias("doc_id"))), "jaccard")
+    wanted = materialise(wanted.select(F.col("digest").alias("id"), F.col("first").alias("doc_id")), "jaccard")
+    sets = materialise(sets_of(docs, k, wanted), "jaccard")
     found = materialise(resolve(members, sets, percent, "jaccard", unit), "jaccard")
 
     firsts = found.join(groups.select(F.col("digest").alias("id"), "first"), "id")

@@ -118,6 +118,16 @@ def test_jaccard_join_on_odd_rows(odd, none):
     assert jaccard_join.jaccard_components(none).count() == 0
 
 
+def test_jaccard_sets_come_once_for_each_digest(spark, monkeypatch):
+    monkeypatch.setattr(C, "passes", lambda bitmap, bits: np.ones(len(bits), bool))  # as a full sieve does
+    rows = [(i, PASSAGE, "x", i) for i in range(30)] + [(40, PASSAGE.replace("passage30", "changed"), "x", 40)] * 3 + [(50, LONG, "x", 50)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    digests = {r.doc_id: r.digest for r in jaccard_join.shingle_sets(docs, 3, 90).collect()}
+    wanted = spark.createDataFrame([(digests[0], 0), (digests[40], 40)], "id long, doc_id long")
+    sets = jaccard_join.sets_of(docs, 3, wanted).collect()
+    assert sorted(r.id for r in sets) == sorted([digests[0], digests[40]]) and all(len(r.tokens) == 58 for r in sets)
+
+
 def test_substring_dedup(odd, none):
     rows = {r.doc_id: r for r in substring_dedup.paragraph_repeats(odd).collect()}
     assert rows[1].n_removed == 0 and rows[2].removed == [1] and rows[2].kept_in == [1] and rows[2].words_removed == 60
