@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,3 +180,15 @@ def arrow_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
     for batch in batches:
         for start in range(0, batch.num_rows, size):
             yield batch.slice(start, size)
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches whose texts (``column``, a string column) have at most ``size`` bytes in all, or one row."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends, start = np.cumsum(lengths.astype(np.int64)), 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm import decontamination, jaccard_join, language_model, pieces, quality, substring_dedup, token_count, url_filter, warc, winnowing
+from ledgerlore.llm import decontamination, importance, jaccard_join, language_model, pieces, quality, substring_dedup, token_count, url_filter, warc, winnowing
 
 QUERIES = {}
 CHECKS = {}
@@ -131,3 +131,39 @@ FROM payloads p LEFT JOIN kept k ON k.payload_digest = p.payload_digest AND p.pa
 @query("op4_warc", WARC_SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(C.table(spark, folder, "pages")).drop("uri")
+
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+IMPORTANCE_SQL = f"""
+WITH texts AS (SELECT doc_id, true AS here, text FROM documents UNION ALL SELECT NULL, false, text FROM benchmark),
+words AS (SELECT doc_id, here, regexp_extract_all({_FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts),
+each AS (SELECT doc_id, here, unnest(w) AS f FROM words),
+remainders AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+           lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS t),
+codes AS (
+  SELECT f, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(range(octet_length(encode(f))), lambda i: ('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::BIGINT)),
+           lambda r, b: xor(r >> 8, t[(xor(r, b) & 255) + 1]))) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM each), remainders),
+counts AS (
+  SELECT bucket, count(*) FILTER (here) AS s, count(*) FILTER (NOT here) AS t FROM each JOIN codes USING (f) GROUP BY bucket),
+totals AS (SELECT sum(s)::DOUBLE AS big_s, sum(t)::DOUBLE AS big_t FROM counts),
+gain AS (
+  SELECT bucket, floor(1000 * ln(((t + 1.0::DOUBLE) * (big_s + 10000)) / ((s + 1.0::DOUBLE) * (big_t + 10000))))::BIGINT AS gain
+  FROM counts, totals),
+summed AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM each JOIN codes USING (f) JOIN gain USING (bucket) WHERE here GROUP BY doc_id),
+scored AS (
+  SELECT w.doc_id, len(w.w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || w.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM words w LEFT JOIN summed ON summed.doc_id = w.doc_id WHERE w.here),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN p.rank <= 10 * p.n // 100 THEN p.rank END AS rank
+FROM scored s LEFT JOIN placed p ON p.doc_id = s.doc_id
+"""
+
+
+@query("op13_importance_resampling", IMPORTANCE_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resampled(C.documents(spark, folder), C.table(spark, folder, "benchmark"))
