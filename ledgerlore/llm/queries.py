@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm import decontamination, importance, jaccard_join, language_model, pieces, quality, substring_dedup, token_count, url_filter, warc, winnowing
+from ledgerlore.llm import alignment, decontamination, importance, jaccard_join, language_model, pieces, quality, substring_dedup, token_count, url_filter, warc, winnowing
 
 QUERIES = {}
 CHECKS = {}
@@ -167,3 +167,8 @@ FROM scored s LEFT JOIN placed p ON p.doc_id = s.doc_id
 @query("op13_importance_resampling", IMPORTANCE_SQL)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resampled(C.documents(spark, folder), C.table(spark, folder, "benchmark"))
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.token_alignment(C.documents(spark, folder))
