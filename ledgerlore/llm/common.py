@@ -16,6 +16,7 @@ from ledgerlore.session import materialise
 CODES_KEPT = 1 << 20  # words a task remembers; a memory bound only, a forgotten word is hashed again
 HEAVY_SHARE = 1000  # a key is heavy above one 1/1000 of all rows, so at most 1,000 keys are
 FILTER_BITS = 1 << 23
+FEW_EDGES = 1 << 18  # as many edges are brought to an end in one task
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -146,7 +147,8 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """``(id, component)`` for all ends of ``edges`` (a, b: long): the smallest id that can be reached.
 
     Large-star and small-star steps, each written to the shared folder, until the edges stay the same. An edge
-    list never leaves the cluster, and a hub's edges are joined with ``join_groups``.
+    list never leaves the cluster, and a hub's edges are joined with ``join_groups``. What is left when no more than
+    ``FEW_EDGES`` are is finished in one task, which that number bounds.
     """
     state = materialise(
         edges.where(F.col("a") != F.col("b"))
@@ -161,6 +163,8 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
             return state.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
                 state.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
             )
+        if now[0] <= FEW_EDGES:
+            return materialise(state.coalesce(1).mapInArrow(few_components, "id long, component long"), purpose)
         mark = tuple(now)
         both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = materialise(
@@ -175,6 +179,25 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
         state = materialise(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), purpose)
 
 
+def few_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(id, component)`` of edges (a, b) that fit into one task: each id takes the smallest label among its neighbours
+    and that label's own, until nothing changes."""
+    edges = pa.Table.from_batches(list(batches), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    ids, ends = np.unique(np.concatenate([edges["a"].to_numpy(), edges["b"].to_numpy()]), return_inverse=True)
+    a, b = ends[: edges.num_rows], ends[edges.num_rows :]
+    label = np.arange(len(ids))
+    while True:
+        least = np.minimum(label[a], label[b])
+        now = label.copy()
+        for end in (a, b, label[a], label[b]):
+            np.minimum.at(now, end, least)
+        now = now[now]
+        if (now == label).all():
+            break
+        label = now
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[label])], names=["id", "component"])
+
+
 def arrow_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``size`` rows, to bound what a task holds beside them."""
     for batch in batches:

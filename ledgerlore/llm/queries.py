@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm import alignment, decontamination, importance, jaccard_join, language_model, pieces, quality, substring_dedup, token_count, url_filter, warc, winnowing
+from ledgerlore.llm import alignment, decontamination, embedding_dedup, importance, jaccard_join, language_model, pieces, quality, substring_dedup, token_count, url_filter, warc, winnowing
 
 QUERIES = {}
 CHECKS = {}
@@ -172,3 +172,8 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_token_alignment")
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.token_alignment(C.documents(spark, folder))
+
+
+@query("op12_embedding_dedup")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(C.table(spark, folder, "embeddings"))
