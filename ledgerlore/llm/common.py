@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlore.session import materialise
 
-CODES_KEPT = 1 << 20  # words a task remembers; a memory bound only, a forgotten word is hashed again
+CODES_KEPT = 1 << 18  # words a task remembers; a memory bound only, a forgotten word is hashed again
 HEAVY_SHARE = 1000  # a key is heavy above one 1/1000 of all rows, so at most 1,000 keys are
 FILTER_BITS = 1 << 23
 FEW_EDGES = 1 << 18  # as many edges are brought to an end in one task
@@ -143,6 +143,19 @@ def passes(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return ((word >> (bits & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
 
 
+def sieve(rows: DataFrame, wanted: DataFrame, key: str, likely: bool = True) -> DataFrame:
+    """The rows whose ``key`` is likely to be among those of ``wanted``, by a bitmap of a fixed size; with ``likely``
+    false the others. Every row whose key is wanted is likely; rows travel no further than through the task."""
+    bitmap = rows.sparkSession.sparkContext.broadcast(id_filter(wanted.select(filter_bit(key))))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = passes(bitmap.value, batch.column(batch.num_columns - 1).to_numpy()) == likely
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep))
+
+    return rows.select("*", filter_bit(key).alias("__bit")).mapInArrow(sift, rows.schema)
+
+
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """``(id, component)`` for all ends of ``edges`` (a, b: long): the smallest id that can be reached.
 

@@ -27,7 +27,7 @@ from ledgerlore.session import materialise
 
 UNIT = 1024  # sets that one task compares at once
 SKETCH = 1 << 22  # counters of the sketch, one byte each where they travel (4 MB)
-ROWS = 500
+SLICE = 1 << 21  # bytes of text that a task takes apart at once
 
 
 def distinct_shingles(text: bytes, k: int, codes: C.Codes) -> np.ndarray:
@@ -40,7 +40,7 @@ def count_sketch(docs: DataFrame, k: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts = C.Codes(), np.zeros(SKETCH, np.int64)
-        for batch in C.arrow_rows(batches, ROWS):
+        for batch in C.byte_slices(batches, 0, SLICE):
             sets = [distinct_shingles(t, k, codes) for t in C.byte_texts(batch.column(0))]
             if sets:
                 counts += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
@@ -48,7 +48,7 @@ def count_sketch(docs: DataFrame, k: int) -> np.ndarray:
         at = np.nonzero(counts > 4 * counts.mean() + 2)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
     seen = rows.toArrow()  # a quarter of the counters at most
     rank = np.zeros(SKETCH, np.uint8)
     rank[seen["at"].to_numpy()] = np.log2(seen["n"].to_numpy()).astype(np.uint8) + 1
@@ -68,7 +68,7 @@ def shingle_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = C.Codes()
-        for batch in C.arrow_rows(batches, ROWS):
+        for batch in C.byte_slices(batches, 1, SLICE):
             sets = [distinct_shingles(t, k, codes) for t in C.byte_texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -91,7 +91,7 @@ def sets_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = C.Codes()
-        for batch in C.arrow_rows(batches, ROWS):
+        for batch in C.byte_slices(batches, 0, SLICE):
             batch = batch.filter(pa.array(C.passes(bitmap.value, batch.column(1).to_numpy())))
             sets = [distinct_shingles(t, k, codes) for t in C.byte_texts(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
@@ -110,6 +110,14 @@ def sets_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
     return once.join(wanted.select("id", "doc_id"), ["id", "doc_id"], "left_semi").select("id", "tokens")
 
 
+def shared_tokens(tokens: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``tokens`` (id, token, ...) whose token is likely shared, and ``(token, low, m)`` of the tokens that
+    several ids have, as a written table. Most tokens are in one text only and fall to a bitmap before they travel again."""
+    shared = tokens.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("m"))
+    shared = materialise(shared.where(F.col("low") != F.col("high")).select("token", "low", "m"), purpose)
+    return C.sieve(tokens, shared, "token"), shared
+
+
 def candidates(tokens: DataFrame, percent: int | None, purpose: str) -> DataFrame:
     """``(hub, id)`` such that ids which may be linked have a hub in common; ``tokens`` is (id, n, token).
 
@@ -117,13 +125,10 @@ def candidates(tokens: DataFrame, percent: int | None, purpose: str) -> DataFram
     again by bands of that width in the logarithm of the size, each in its own band and the next: sets that only have a
     passage in common mostly differ in size and drop out before any set is shipped. Without ``percent`` there are no bands.
     """
+    rows, shared = shared_tokens(tokens, purpose)
     if percent is None:
-        hubs = tokens.groupBy("token").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("m"))
-        hubs = materialise(hubs.where("m > 1"), purpose)
-        return materialise(C.join_groups(tokens, hubs, "token", "m").select("hub", "id").distinct(), purpose)
-    shared = tokens.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("m"))
-    shared = materialise(shared.where(F.col("low") != F.col("high")).select("token", "m"), purpose)
-    rows = C.join_groups(tokens, shared, "token", "m")
+        return materialise(C.join_groups(rows, shared, "token", "m").select(F.col("low").alias("hub"), "id").distinct(), purpose)
+    rows = C.join_groups(rows, shared.select("token", "m"), "token", "m")
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent + 1e-6))
     banded = rows.select("id", F.explode(F.array(band, band + 1)).alias("band"), "token")
     banded = materialise(banded.select(F.xxhash64("token", "band").alias("key"), "id").distinct(), purpose)

@@ -1,9 +1,16 @@
 """Substring dedup on paragraphs: MinHash banding, exact Jaccard on what collides, removal by components.
 
-A paragraph is a line of at least ``MIN_WORDS`` words. Equal paragraphs become one by a digest first. ``BANDS`` bands of
-``ROWS`` minima find a pair of similarity 0.8 with probability 1 - (1 - 0.8^3)^9 = 0.9984, and one of 0.9 with
-0.999998; colliding paragraphs are then joined exactly (``jaccard_join.resolve``), so a collision alone removes nothing.
-Of each component the occurrence with the smallest (doc_id, line) stays.
+A *paragraph* is cut by content, not by lines: it begins at each word whose rolling hash is the smallest among ``REACH``
+words on either side. Equal passages therefore fall into equal paragraphs wherever they stand, inside a line or across
+several, but for the first and the last one. Equal paragraphs become one by a digest. ``BANDS`` bands of ``ROWS``
+minima find a pair of similarity 0.8 with probability 1 - (1 - 0.8^2)^3 = 0.953; colliding paragraphs are then joined
+exactly (``jaccard_join.resolve``), so a collision alone removes nothing. Of each component the occurrence with the
+smallest (doc_id, paragraph) stays.
+
+Elsewhere paragraphs in a row make a passage; a similar one next to an equal one is left to what follows. The passage
+is extended word by word on both sides as far as the words around
+the occurrences that stay are the same, joined to the next passage if at most ``GAP`` words or a fifth between them
+differ, and removed if it has ``MIN_WORDS`` words by then.
 """
 
 from __future__ import annotations
@@ -12,7 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,185 +27,350 @@ from ledgerlore.llm.jaccard_join import candidates, resolve
 from ledgerlore.session import materialise
 
 SHINGLE, PERCENT = 5, 80
-MIN_WORDS = 20
-BANDS, ROWS = 9, 3
+MIN_WORDS = 40
+REACH, ROLL = 6, 3
+BANDS, ROWS = 3, 2
+GAP = 4
+CONTEXT = 64  # words around a paragraph that stays, to extend passages by
+SLICE = 1 << 20  # bytes of text worked on at once
 
 _SEEDS = np.random.default_rng(17).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+def coded(texts: list[bytes], codes: C.Codes) -> tuple[np.ndarray, np.ndarray]:
+    """Word codes of all texts one after the other, and how many words each text has; A-Z in lower case."""
+    words = [t.lower().split() for t in texts]
+    n = np.array([len(w) for w in words], np.int64)
+    flat = [C.word_codes(w, codes) for w in words]
+    return np.concatenate(flat) if flat else np.empty(0, np.uint64), n
+
+
+def paragraph_starts(words: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Where paragraphs begin in the words of several texts; a text of ``SHINGLE`` words or more begins one.
+
+    No paragraph has fewer than ``SHINGLE`` words, and none reaches into the next text.
+    """
+    if not len(words):
+        return np.empty(0, np.int64)
+    ends = np.cumsum(n)
+    first = np.repeat(ends - n, n)  # per word, where its text begins and ends
+    last = np.repeat(ends, n)
+    at = np.arange(len(words))
+    roll = np.full(len(words), np.uint64(ROLL))
+    for i in range(ROLL):
+        roll = roll * np.uint64(0x9E3779B97F4A7C15) + words[np.minimum(at + i, len(words) - 1)]
+    roll = C.mixed(roll)
+    roll[at + ROLL > last] = _LAST
+    cut = (at - first >= SHINGLE) & (last - at >= SHINGLE)
+    for away in range(1, REACH + 1):
+        before, after = roll[np.maximum(at - away, 0)], roll[np.minimum(at + away, len(words) - 1)]
+        cut &= (at - away < first) | (roll < before)
+        cut &= (at + away >= last) | (roll <= after)
+    cut[(ends - n)[n >= SHINGLE]] = True
+    return np.flatnonzero(cut)
 
 
-def paragraphs(text: bytes, least: int = MIN_WORDS) -> tuple[int, list[tuple[int, list[bytes]]]]:
-    """Number of lines with words, and (line number, words) of the lines with enough words."""
-    lines = [line.split() for line in text.lower().split(b"\n")]
-    return sum(map(bool, lines)), [(i, words) for i, words in enumerate(lines) if len(words) >= least]
+def paragraph_ends(starts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the paragraphs end, and which text each is of."""
+    ends = np.cumsum(n)
+    text = np.searchsorted(ends, starts, side="right")
+    return np.minimum(np.append(starts[1:], ends[-1:]), ends[text]), text
 
 
-def text_id(words: list[bytes]) -> int:
-    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+def paragraph_ids(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit digest of the words of each paragraph, in order."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    size = ends - starts
+    offset = np.cumsum(size) - size
+    within = np.arange(int(size.sum())) - np.repeat(offset, size)
+    taken = words[np.repeat(starts, size) + within]
+    each = C.mixed(taken + (within.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+    return C.mixed(np.add.reduceat(each, offset) + size.astype(np.uint64))
 
 
-def band_keys(parts: list[list[bytes]], codes: C.Codes) -> np.ndarray:
-    """One row of ``BANDS`` keys per paragraph."""
-    if not parts:
-        return np.empty((0, BANDS), np.int64)
-    lengths = np.array([len(p) for p in parts])
-    words = np.concatenate([C.word_codes(p, codes) for p in parts])
+def band_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One row of ``BANDS`` keys per paragraph, from the minima over its shingles."""
+    if not len(starts):
+        return np.empty((0, BANDS), np.uint64)
     runs = C.shingle_codes(words, SHINGLE)
-    inside = np.ones(len(words), bool)  # runs that reach into the next paragraph do not count
-    ends = np.cumsum(lengths)
-    for back in range(1, SHINGLE):
-        inside[ends - back] = False
-    runs = runs[inside[: len(runs)]]
-    starts = np.concatenate([[0], np.cumsum(lengths - SHINGLE + 1)[:-1]])
-    minima = [np.minimum.reduceat(runs * seed, starts) for seed in _SEEDS]
-    keys = []
+    size = ends - starts - SHINGLE + 1
+    offset = np.cumsum(size) - size
+    inside = runs[np.repeat(starts - offset, size) + np.arange(int(size.sum()))]
+    keys = np.empty((len(starts), BANDS), np.uint64)
     for band in range(BANDS):
-        key = np.full(len(parts), np.uint64(band + 1))
-        for low in minima[band * ROWS : (band + 1) * ROWS]:
-            key = C.mixed(key * np.uint64(0x9E3779B97F4A7C15) + low)
-        keys.append(C.signed(key))
-    return np.stack(keys, axis=1)
+        key = np.full(len(starts), np.uint64(band + 1))
+        for seed in _SEEDS[band * ROWS : (band + 1) * ROWS]:
+            key = C.mixed(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(inside * seed, offset))
+        keys[:, band] = key
+    return keys
 
 
-def described(docs: DataFrame, least: int) -> DataFrame:
-    """``(doc_id, key, n_paragraphs, lines, sizes, ids, bands)`` for every row; ``key`` stands for the row's content."""
+def keyed(docs: DataFrame) -> DataFrame:
+    """``(doc_id, key, text)``; ``key`` stands for the row's content."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", text).alias("key"), text.alias("text"))
+
+
+def split(array: np.ndarray, owner: np.ndarray, rows: int, kind: pa.DataType = pa.int64()) -> pa.ListArray:
+    """``array`` as one list per row, given the row of each element in order."""
+    offsets = np.append(0, np.cumsum(np.bincount(owner, minlength=rows))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(array, kind))
+
+
+def described(docs: DataFrame) -> DataFrame:
+    """``(doc_id, key, ids, bands)`` for every row: the digests of its paragraphs in order, and their band keys."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = C.Codes()
-        for batch in C.arrow_rows(batches, 200):
-            counts, rows = [], []
-            for text in C.byte_texts(batch.column(2)):
-                n, parts = paragraphs(text, least)
-                counts.append(n)
-                rows.append(parts)
-            keys = band_keys([words for parts in rows for _, words in parts], codes)
-            ends = np.cumsum([len(parts) for parts in rows])
+        for batch in C.byte_slices(batches, 2, SLICE):
+            words, n = coded(C.byte_texts(batch.column(2)), codes)
+            starts = paragraph_starts(words, n)
+            ends, text = paragraph_ends(starts, n)
+            ids = split(C.signed(paragraph_ids(words, starts, ends)), text, batch.num_rows)
+            bands = split(C.signed(band_keys(words, starts, ends).ravel()), np.repeat(text, BANDS), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids, bands], names=["doc_id", "key", "ids", "bands"])
+
+    return keyed(docs).mapInArrow(describe, "doc_id long, key long, ids array<long>, bands array<long>")
+
+
+def sets_of(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(id, tokens)``: the shingle sets of the paragraphs ``texts`` (id, key), each from the row with that key."""
+    ids = docs.sparkSession.sparkContext.broadcast(C.id_filter(texts.select(bit("id"))))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = C.Codes()
+        for batch in C.byte_slices(batches, 2, SLICE):
+            words, n = coded(C.byte_texts(batch.column(2)), codes)
+            starts = paragraph_starts(words, n)
+            ends, text = paragraph_ends(starts, n)
+            found = C.signed(paragraph_ids(words, starts, ends))
+            wanted = np.flatnonzero(C.passes(ids.value, found & (C.FILTER_BITS - 1)))
+            sets = [C.signed(np.unique(C.shingle_codes(words[starts[i] : ends[i]], SHINGLE))) for i in wanted]
+            keys = batch.column(1).to_numpy()[text[wanted]]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(counts, pa.int64()),
-                    pa.array([[i for i, _ in parts] for parts in rows], pa.list_(pa.int32())),
-                    pa.array([[len(w) for _, w in parts] for parts in rows], pa.list_(pa.int32())),
-                    pa.array([[text_id(w) for _, w in parts] for parts in rows], pa.list_(pa.int64())),
-                    C.lists([keys[e - len(p) : e].ravel() for e, p in zip(ends, rows)], pa.int64()),
-                ],
-                names=["doc_id", "key", "n_paragraphs", "lines", "sizes", "ids", "bands"],
+                [pa.array(found[wanted]), pa.array(keys, pa.int64()), C.lists(sets, pa.int64())], names=["id", "key", "tokens"]
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), "text")
-    return rows.mapInArrow(
-        describe,
-        "doc_id long, key long, n_paragraphs long, lines array<int>, sizes array<int>, ids array<long>, bands array<long>",
-    )
+    built = C.sieve(keyed(docs), texts, "key").mapInArrow(build, "id long, key long, tokens array<long>")
+    once = built.groupBy("id", "key").agg(F.first("tokens").alias("tokens"))
+    return once.join(texts.select("id", "key"), ["id", "key"], "left_semi").select("id", "tokens")
 
 
-def sets_of(docs: DataFrame, least: int, texts: DataFrame) -> DataFrame:
-    """``(id, tokens)``: the shingle sets of the paragraphs ``texts`` (id, doc_id), each from that document."""
-    text_bit = F.col("id").bitwiseAND(C.FILTER_BITS - 1).alias("bit")
-    sieves = C.id_filter(texts.select(C.filter_bit("doc_id"))), C.id_filter(texts.select(text_bit))
-    shipped = docs.sparkSession.sparkContext.broadcast(sieves)
+def bit(column: str):
+    """The filter bit of a column that is a hash already."""
+    return F.col(column).bitwiseAND(C.FILTER_BITS - 1).cast("int").alias("bit")
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_docs, of_texts = shipped.value
+
+def surroundings(docs: DataFrame, stays: DataFrame) -> DataFrame:
+    """``(key, i, before, after)``: the words around paragraph ``i`` of the row ``key``, for each of ``stays`` (key, i).
+
+    Words are 32-bit codes, up to ``CONTEXT`` on either side, the nearest one last in ``before`` and first in ``after``.
+    """
+    asked = stays.groupBy("key").agg(F.array_sort(F.collect_set("i")).alias("places"))
+    rows = C.sieve(keyed(docs), asked, "key").dropDuplicates(["key"]).join(asked, "key").select("key", "places", "text")
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = C.Codes()
-        for batch in C.arrow_rows(batches, 200):
-            batch = batch.filter(pa.array(C.passes(of_docs, batch.column(2).to_numpy())))
-            owners, ids, sets = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), C.byte_texts(batch.column(1))):
-                parts = [words for _, words in paragraphs(text, least)[1]]
-                names = np.array([text_id(words) for words in parts], np.int64)
-                for i in np.flatnonzero(C.passes(of_texts, names & (C.FILTER_BITS - 1))):
-                    owners.append(doc)
-                    ids.append(names[i])
-                    sets.append(C.signed(np.unique(C.shingle_codes(C.word_codes(parts[i], codes), SHINGLE))))
-            columns = [pa.array(ids, pa.int64()), pa.array(owners, pa.int64()), C.lists(sets, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "doc_id", "tokens"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text", C.filter_bit("doc_id"))
-    built = rows.mapInArrow(build, "id long, doc_id long, tokens array<long>")
-    same = [built["id"] == texts["id"], built["doc_id"].eqNullSafe(texts["doc_id"])]
-    return built.join(texts, same, "left_semi").select("id", "tokens")
-
-
-def repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``described``, and ``(key, removed, words, kept_in)``: what goes from the rows that lose something.
-
-    ``removed`` are line numbers in order, ``words`` how many words these lines have, ``kept_in`` the documents where
-    their like stays.
+        for batch in C.byte_slices(batches, 2, SLICE):
+            words, n = coded(C.byte_texts(batch.column(2)), codes)
+            starts = paragraph_starts(words, n)
+            ends, text = paragraph_ends(starts, n)
+            stop = np.cumsum(n)
+            first = np.searchsorted(text, np.arange(batch.num_rows))
+            keys, numbers, before, after = [], [], [], []
+            words = words.astype(np.uint32)
+            for row, (key, places) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                for i in places:
+                    at = first[row] + i
+                    keys.append(key)
+                    numbers.append(i)
+                    before.append(words[max(stop[row] - n[row], starts[at] - CONTEXT) : starts[at]].tobytes())
+                    after.append(words[ends[at] : min(stop[row], ends[at] + CONTEXT)].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(numbers, pa.int32()), pa.array(before, pa.binary()), pa.array(after, pa.binary())],
+                names=["key", "i", "before", "after"],
+            )
+
+    return rows.mapInArrow(take, "key long, i int, before binary, after binary")
+
+
+def repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``(key, places, equal, before, after, kept_in)`` of the rows with paragraphs whose like stays in another document.
+
+    ``places`` are the numbers of these paragraphs in order; ``equal`` says for each whether it has the words of the one
+    that stays, ``before`` and ``after`` hold the words around that one, and ``kept_in`` its document. A written table.
     """
-    rows = materialise(described(docs, least), "paragraphs")
-    each = rows.select("doc_id", "key", "lines", "sizes", "ids", "bands", F.posexplode("ids").alias("i", "id")).select(
-        "doc_id",
-        "key",
-        F.col("lines")[F.col("i")].alias("line"),
-        F.col("sizes")[F.col("i")].alias("size"),
-        "id",
-        F.slice("bands", F.col("i") * BANDS + 1, BANDS).alias("bands"),
+    rows = materialise(described(docs), "paragraphs")
+    each = rows.select("doc_id", "key", F.posexplode("ids").alias("i", "id"))
+    place = F.struct("doc_id", "key", "i")
+    repeated = materialise(
+        each.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "paragraphs"
     )
-    texts = materialise(
-        each.groupBy("id").agg(
-            F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")
-        ),
-        "paragraphs",
-    )
-    tokens = texts.select("id", F.explode("bands").alias("token"))
+    bands = rows.select("ids", F.posexplode("bands").alias("j", "token"))
+    tokens = bands.select(F.col("ids")[F.floor(F.col("j") / BANDS).cast("int")].alias("id"), "token")
     members = candidates(tokens, None, "paragraphs")
-    wanted = texts.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("first.doc_id").alias("doc_id"))
-    sets = materialise(sets_of(docs, least, materialise(wanted, "paragraphs")), "paragraphs")
+    near = materialise(members.select("id").distinct(), "paragraphs")
+    # Paragraphs that collide may occur once, and then are not among the repeated ones.
+    colliding = C.sieve(each, near, "id").join(near, "id", "left_semi")
+    colliding = materialise(colliding.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "paragraphs")
+    sets = materialise(sets_of(docs, materialise(colliding.select("id", F.col("first.key").alias("key")), "paragraphs")), "paragraphs")
     found = materialise(resolve(members, sets, percent, "paragraphs"), "paragraphs")
 
-    placed = texts.select("id", "first", "n").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    groups = placed.groupBy("component").agg(
-        F.min("first").alias("stays"), F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("n_texts")
-    )
-    groups = materialise(groups.where(F.col("n_all") > 1), "paragraphs")
-    labels = materialise(C.join_groups(placed, groups, "component", "n_texts").select("id", "n", "stays"), "paragraphs")
-    places = each.select("doc_id", "key", "line", "size", "id")
-    gone = C.join_groups(places, labels, "id", "n").where(~F.struct("doc_id", "line").eqNullSafe(F.col("stays")))
-    lost = gone.groupBy("key").agg(
-        F.array_sort(F.collect_set(F.struct("line", "size"))).alias("lost"),
-        F.array_sort(F.collect_set("stays.doc_id")).alias("kept_in"),
+    placed = repeated.unionByName(colliding.join(repeated, "id", "left_anti").join(found, "id", "left_semi"))
+    placed = materialise(placed.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), "paragraphs")
+    groups = placed.groupBy("component").agg(F.min("first").alias("stays"), F.count(F.lit(1)).alias("n_texts"))
+    groups = materialise(groups.select("component", "n_texts", "stays.*"), "paragraphs")
+    around = materialise(surroundings(docs, groups.select("key", "i")), "paragraphs")
+    groups = groups.join(around, ["key", "i"]).select(
+        "component", "n_texts", F.struct("doc_id", "key", "i").alias("stays"), "before", "after"
     )
-    return rows, lost.select(
-        "key",
-        F.col("lost.line").alias("removed"),
-        F.aggregate("lost.size", F.lit(0).cast("long"), lambda n, x: n + x).alias("words"),
-        "kept_in",
+    groups = materialise(groups, "paragraphs")
+    labels = materialise(
+        C.join_groups(placed, groups, "component", "n_texts").select(
+            "id", "n", "stays", "before", "after", (F.col("first") == F.col("stays")).alias("equal")
+        ),
+        "paragraphs",
     )
+    gone = C.join_groups(C.sieve(each, labels, "id"), labels, "id", "n")
+    gone = gone.where(~F.col("doc_id").eqNullSafe(F.col("stays.doc_id"))).dropDuplicates(["key", "i"])
+    inside = F.struct("i", "equal", "before", "after", F.col("stays.doc_id").alias("kept_in"))
+    lost = gone.groupBy("key").agg(F.array_sort(F.collect_list(inside)).alias("x"))
+    parts = [F.col(f"x.{c}").alias(name) for c, name in (("i", "places"), ("equal", "equal"), ("before", "before"), ("after", "after"), ("kept_in", "kept_in"))]
+    return materialise(lost.select("key", *parts), "paragraphs")
+
+
+def shared_end(one: np.ndarray, other: np.ndarray) -> int:
+    """How many words two sequences have in common at their ends."""
+    n = min(len(one), len(other))
+    differ = np.flatnonzero(one[len(one) - n :][::-1] != other[len(other) - n :][::-1])
+    return int(differ[0]) if len(differ) else n
+
+
+def passages(
+    words: np.ndarray, starts: np.ndarray, ends: np.ndarray, places: list[int], before: list[bytes], after: list[bytes], least: int
+) -> list[tuple[int, int]]:
+    """Spans [from, to) of the words of one text that are removed; see the module's description."""
+    runs: list[list[int]] = []  # from, to, and the last paragraph
+    n = len(words)
+    for at, i in enumerate(places):
+        if runs and runs[-1][2] == i - 1:
+            runs[-1][1:] = [int(ends[i]), i]
+            continue
+        left = int(starts[i])
+        limit = runs[-1][1] if runs else 0
+        context = np.frombuffer(before[at], np.uint32)
+        left -= shared_end(words[limit:left], context)
+        if runs:
+            held = np.frombuffer(after[at - 1], np.uint32)
+            right = limit + shared_end(words[limit:left][::-1], held[::-1])
+            if left - right <= max(GAP, (int(starts[i]) - limit) // 5):
+                runs[-1][1:] = [int(ends[i]), i]
+                continue
+            runs[-1][1] = right
+        runs.append([left, int(ends[i]), i])
+    if runs:
+        held = np.frombuffer(after[-1], np.uint32)
+        runs[-1][1] += shared_end(words[runs[-1][1] : n][::-1], held[::-1])
+    return [(a, b) for a, b, _ in runs if b - a >= least]
+
+
+def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """``text`` without the words of the spans and what stands between them; a line that is left empty goes as well."""
+    letters = np.frombuffer(text, np.uint8)
+    filled = ~np.isin(letters, np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], filled.view(np.int8), [0]])))
+    begin, end = edges[::2], edges[1::2]
+    parts, at = [], 0
+    for first, last in spans:
+        start, stop = int(begin[first]), int(end[last - 1])
+        parts.append(text[at:start])
+        at = stop
+        if (start == 0 or text[start - 1 : start] == b"\n") and text[stop : stop + 1] == b"\n":
+            at += 1
+    return b"".join([*parts, text[at:]])
+
+
+def shortened(batch: pa.RecordBatch, least: int, codes: C.Codes) -> Iterator[tuple[int, str, list[tuple[int, int]], np.ndarray]]:
+    """(row, text, spans, paragraph starts) of the rows of (_, text, places, equal, before, after) that lose something.
+
+    Beside a paragraph that is equal word by word, extending that one says more than a similar paragraph does.
+    """
+    texts = batch.column(1)
+    for row, places in enumerate(batch.column(2).to_pylist()):
+        if not places:
+            continue
+        text = texts[row].as_py().encode()
+        words, n = coded([text], codes)
+        starts = paragraph_starts(words, n)
+        ends, _ = paragraph_ends(starts, n)
+        equal, before, after = (batch.column(c)[row].as_py() for c in (3, 4, 5))
+        sure = {i for i, same in zip(places, equal) if same}
+        kept = [at for at, i in enumerate(places) if i in sure or not (i - 1 in sure or i + 1 in sure)]
+        places, before, after = ([x[at] for at in kept] for x in (places, before, after))
+        spans = passages(words.astype(np.uint32), starts, ends, places, before, after, least)
+        if spans:
+            yield row, without_spans(text, spans).decode(), spans, starts
 
 
 def paragraph_repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``(doc_id, n_paragraphs, n_removed, words_removed, removed, kept_in)`` for every row of ``docs`` (doc_id, text).
+    """``(doc_id, text, n_passages, words_removed, kept_in)`` for every row of ``docs`` (doc_id, text), ``text`` being
+    what is left of it.
 
-    A null or blank text has no paragraphs; short lines are counted but never removed. Rows that share an id count as
-    one document: a paragraph that stays, stays in all of them. A null id sorts first. Other columns are not read.
+    Untouched texts stay byte for byte; null stays null, and a text all of which goes becomes empty. Rows that share an
+    id count as one document: what stays, stays in all of them, and repeats inside one document are left alone. A null
+    id sorts first, so what it holds stays. ``kept_in`` lists the documents where the like of removed paragraphs stays.
+    Other columns are not read.
     """
-    rows, lost = repeats(docs, least, percent)
-    none = F.array().cast("array<int>")
-    return rows.select("doc_id", "key", "n_paragraphs").join(lost, "key", "left").select(
-        "doc_id",
-        "n_paragraphs",
-        F.size(F.coalesce("removed", none)).cast("long").alias("n_removed"),
-        F.coalesce("words", F.lit(0)).cast("long").alias("words_removed"),
-        F.coalesce("removed", none).alias("removed"),
-        F.coalesce("kept_in", F.array().cast("array<long>")).alias("kept_in"),
-    )
+    lost = repeats(docs, percent)
+    rows = keyed(docs)
+    none = [F.lit(0).cast("long").alias(c) for c in ("n_passages", "words_removed")]
+    same = C.sieve(rows, lost, "key", likely=False).select("doc_id", "text", *none, F.array().cast("array<long>").alias("kept_in"))
+    touched = C.sieve(rows, lost, "key").join(lost, "key", "left").select("doc_id", "text", "places", "equal", "before", "after", "kept_in")
+    names = same.columns
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = C.Codes()
+        for batch in C.byte_slices(batches, 1, SLICE):
+            texts = batch.column(1).to_pylist()
+            numbers, removed, kept = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), [[]] * len(texts)
+            for row, texts[row], spans, starts in shortened(batch, least, codes):
+                numbers[row], removed[row] = len(spans), sum(b - a for a, b in spans)
+                owners = zip(batch.column(2)[row].as_py(), batch.column(6)[row].as_py())
+                inside = {k for i, k in owners if any(a <= starts[i] < b for a, b in spans)}
+                kept[row] = sorted(inside, key=lambda k: (k is not None, k))
+            columns = [pa.array(texts, pa.string()), pa.array(numbers), pa.array(removed), pa.array(kept, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
+
+    return same.unionByName(touched.mapInArrow(cut, same.schema))
 
 
 def without_repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the removed lines; a document that has no words left goes. Untouched texts stay as they are.
+    """``docs`` without the passages that ``paragraph_repeats`` removes; a document that has no words left by it goes.
 
-    All columns stay; ``n_chars`` is counted anew where lines went.
+    All columns stay, whatever their names; ``n_chars`` is counted anew where words went. Nulls, ties and repeated rows
+    are treated as there.
     """
-    _, lost = repeats(docs, least, percent)
-    lost = lost.select(F.col("key").alias("__key"), F.col("removed").alias("__removed"))
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text")).join(lost, "__key", "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("__removed", i))
-    changed = F.col("__removed").isNotNull()
-    out = {c: F.col(c) for c in docs.columns} | {"text": F.when(changed, F.array_join(kept, "\n")).otherwise(F.col("text"))}
-    cut = keyed.select(changed.alias("__changed"), *[v.alias(c) for c, v in out.items()])
-    cut = cut.where(~(F.col("__changed") & (F.trim(F.regexp_replace("text", "\\s", "")) == "")))
+    lost = repeats(docs, percent)
+    text = F.col("text").cast("string")
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("key"), text.alias("text"))
+    same = C.sieve(rows, lost, "key", likely=False).select("row", "text")
+    touched = C.sieve(rows, lost, "key").join(lost, "key", "left").select("row", "text", "places", "equal", "before", "after")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = C.Codes()
+        for batch in C.byte_slices(batches, 1, SLICE):
+            texts, keep = batch.column(1).to_pylist(), np.ones(batch.num_rows, bool)
+            for row, texts[row], _, _ in shortened(batch, least, codes):
+                keep[row] = bool(texts[row].strip())
+            out = [batch.column(0), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(out, names=["row", "text"]).filter(pa.array(keep))
+
+    left = same.unionByName(touched.mapInArrow(cut, same.schema))
+    columns = {c: F.col("row")[c] for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
+        changed = ~F.col("text").eqNullSafe(F.col("row.text"))
         kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("__changed"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+        columns["n_chars"] = F.when(changed, F.length("text").cast(kind)).otherwise(F.col("row")["n_chars"])
+    return left.select(*[column.alias(name) for name, column in columns.items()])
