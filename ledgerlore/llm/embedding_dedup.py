@@ -94,19 +94,11 @@ def cells_of(points: DataFrame, overlap: int, cell: int = CELL, children: int =
     part (one child gets all) are parted by a hash of the point.
     """
     rows = points.select("pid", "vector", F.lit(0).cast("long").alias("cell"), F.lit(True).alias("home"))
-    sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
-    done, depth = None, 0
+    total = points.count()
+    if total <= cell:
+        return rows
+    split, done, depth = rows.withColumn("m", F.lit(total).cast("long")), None, 0
     while True:
-        sizes = materialise(sizes, "embeddings")
-        large = sizes.where(F.col("m") > cell)
-        if large.isEmpty():
-            return rows if done is None else done.unionByName(rows)
-        marked = C.join_groups(rows, sizes, "cell", "m")
-        small = marked.where(F.col("m") <= cell).drop("m")
-        if not sizes.where(F.col("m") <= cell).isEmpty():
-            small = materialise(small, "embeddings")
-            done = small if done is None else done.unionByName(small)
-        split = marked.where(F.col("m") > cell)
         share = F.lit(float(FIT_VECTORS)) / F.col("m")
         drawn = split.where(F.pmod(F.xxhash64("pid", "home", F.lit(depth)), F.lit(1 << 30)) < share * float(1 << 30))
 
@@ -138,8 +130,13 @@ def cells_of(points: DataFrame, overlap: int, cell: int = CELL, children: int =
         held = centres.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).drop("m")
         dealt = asked.groupBy("cell", "chunk").cogroup(held.groupBy("cell", "chunk")).applyInArrow(deal, rows.schema)
         rows = materialise(dealt, "embeddings")
-        sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
         depth += 1
+        sizes = materialise(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("m")), "embeddings")
+        marked = C.join_groups(rows, sizes, "cell", "m")
+        small, split = marked.where(F.col("m") <= cell).drop("m"), marked.where(F.col("m") > cell)
+        done = small if done is None else done.unionByName(small)
+        if sizes.where(F.col("m") > cell).isEmpty():
+            return done
 
 
 def pruned(own: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, nearest: int = NEAREST) -> np.ndarray:
@@ -151,8 +148,8 @@ def pruned(own: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, nearest:
     n = len(own)
     width = min(nearest, n - 1)
     out = np.full((n, max(1, min(degree, width))), -1, np.int64)
-    for start in range(0, n if width > 0 else 0, 256):
-        at = np.arange(start, min(n, start + 256))
+    for start in range(0, n if width > 0 else 0, 128):
+        at = np.arange(start, min(n, start + 128))
         close = own[at] @ own.T
         close[np.arange(len(at)), at] = -np.inf
         near = np.argpartition(-close, width - 1, axis=1)[:, :width]
@@ -183,8 +180,11 @@ def reachable(edges: np.ndarray, start: int) -> np.ndarray:
     return seen[:-1]
 
 
-def graph(cells: DataFrame) -> DataFrame:
-    """``(pid, cell, medoid, neighbours)`` for every row of ``cells``: pruned lists, both ways, all reachable."""
+def graph(cells: DataFrame, reach: float) -> DataFrame:
+    """``(pid, cell, medoid, neighbours, close)`` for every row of ``cells``: pruned lists, both ways, all reachable.
+
+    ``close`` are the neighbours with a cosine of ``reach`` or more.
+    """
 
     def build(group: pa.Table) -> pa.Table:
         group = group.take(np.argsort(group["pid"].to_numpy(), kind="stable"))
@@ -216,10 +216,11 @@ def graph(cells: DataFrame) -> DataFrame:
                 "cell": group["cell"],
                 "medoid": pa.array(np.arange(n) == medoid),
                 "neighbours": C.lists([pid[x] for x in lists], pa.int64()),
+                "close": C.lists([pid[x[own[x] @ v >= reach]] for x, v in zip(lists, own)], pa.int64()),
             }
         )
 
-    rows = cells.select("pid", "cell", "vector", "home").groupBy("cell").applyInArrow(build, "pid long, cell long, medoid boolean, neighbours array<long>")
+    rows = cells.select("pid", "cell", "vector", "home").groupBy("cell").applyInArrow(build, "pid long, cell long, medoid boolean, neighbours array<long>, close array<long>")
     return materialise(rows, "embeddings")
 
 
@@ -233,7 +234,8 @@ class Cell:
         self.own = self.home == nodes["cell"][0].as_py()
         self.copies = nodes["copies"].to_numpy()
         n = len(self.pid)
-        lists = [np.searchsorted(self.pid, x) for x in C.list_rows(nodes["neighbours"], np.int64)]
+        lists = [x[np.isin(x, self.pid)] for x in C.list_rows(nodes["neighbours"], np.int64)]
+        lists = [np.searchsorted(self.pid, x) for x in lists]
         self.edges = np.full((n + 1, max(1, max(map(len, lists)))), n, np.int64)
         for i, row in enumerate(lists):
             self.edges[i, : len(row)] = row
@@ -328,16 +330,20 @@ def visited(queries: DataFrame, nodes: DataFrame, threshold: float, purpose: str
 def searched(points: DataFrame, overlap: int, threshold: float, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
     """``(pid, n)``: linked copies of other points; and links (a, b) that connect what all links do."""
     placed = materialise(cells_of(points, overlap, cell), "embeddings")
-    lists = graph(placed)
+    # Of two points within reach of a query, one reached through the other, the angle is twice that reach at most.
+    lists = graph(placed, 2 * (threshold - SLACK) ** 2 - 1)
     homes = materialise(placed.where("home").select("pid", "cell"), "embeddings")
-    united = lists.groupBy("pid").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
+    united = lists.groupBy("pid").agg(
+        *[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("neighbours", "close")]
+    )
     medoids = lists.where("medoid").select("cell", "pid", "medoid")
     at_home = homes.join(united, "pid").join(medoids, ["cell", "pid"], "left")
-    at_home = materialise(at_home.select("pid", "cell", F.coalesce("medoid", F.lit(False)).alias("medoid"), "neighbours"), "embeddings")
-    around = at_home.select("cell", F.explode("neighbours").alias("pid")).distinct()
+    at_home = materialise(at_home.select("pid", "cell", F.coalesce("medoid", F.lit(False)).alias("medoid"), "neighbours", "close"), "embeddings")
+    # Neighbours from elsewhere have no lists here; only those count that a search can have within its range.
+    around = at_home.select("cell", F.explode("close").alias("pid")).distinct()
     around = around.join(homes, ["cell", "pid"], "left_anti")
     none = F.array().cast("array<long>")
-    shown = at_home.unionByName(around.select("pid", "cell", F.lit(False).alias("medoid"), none.alias("neighbours")))
+    shown = at_home.drop("close").unionByName(around.select("pid", "cell", F.lit(False).alias("medoid"), none.alias("neighbours")))
     facts = points.select("pid", "vector", "copies").join(homes.withColumnRenamed("cell", "home"), "pid")
     nodes = materialise(shown.join(facts, "pid"), "embeddings")
     asked = homes.join(points.select("pid", "vector"), "pid").withColumn("entry", F.col("pid"))
