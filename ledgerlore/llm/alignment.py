@@ -29,6 +29,7 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 SLICE = 1 << 20  # bytes of text worked on at once
 HEAD = 21  # pairs with more than total / 2^HEAD links are looked up in the task
+FIRST_STEP = 16  # tokens compared one by one before probes take longer and longer slices
 KEPT = 1 << 20  # distinct pairs that a task counts before it passes them on
 #: Fixed: how byte-level BPE splits a text before it merges.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -97,25 +98,16 @@ def aligned(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndar
     """For each group in order, how many tokens of A and of B end with it; both sequences end at the same byte."""
     n, m = len(ends_a), len(ends_b)
     list_a, list_b = ends_a.tolist(), ends_b.tolist()
-    raw_a, raw_b = (memoryview(np.ascontiguousarray(e, np.int64)).cast("B") for e in (ends_a, ends_b))
-    cut_a: list[int] = []
-    cut_b: list[int] = []
+    kind = np.int32 if not n or list_a[-1] < 1 << 31 else np.int64
+    size = np.dtype(kind).itemsize
+    raw_a, raw_b = ends_a.astype(kind).tobytes(), ends_b.astype(kind).tobytes()  # slices of bytes compare at once
+    firsts_a: list[int] = []
+    firsts_b: list[int] = []
+    counts: list[int] = []
     i = j = 0
     while i < n:
-        if list_a[i] == list_b[j]:  # a one-to-one stretch: doubled steps while they match, then halved ones
-            start_a, start_b, step, grow = i, j, 1, True
-            while step:
-                width = min(step, n - i, m - j)
-                if width and raw_a[8 * i : 8 * (i + width)] == raw_b[8 * j : 8 * (j + width)]:
-                    i, j = i + width, j + width
-                    step = step * 2 if grow else step // 2
-                else:
-                    step, grow = min(step, max(width, 1)) // 2, False
-            cut_a.extend(range(start_a + 1, i + 1))
-            cut_b.extend(range(start_b + 1, j + 1))
-            continue
         end_a, end_b = list_a[i], list_b[j]
-        while end_a != end_b:
+        while end_a != end_b:  # an irregular group, resolved where it stands; the shift j - i is new after it
             if end_a < end_b:
                 i += 1
                 end_a = list_a[i]
@@ -123,9 +115,26 @@ def aligned(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndar
                 j += 1
                 end_b = list_b[j]
         i, j = i + 1, j + 1
-        cut_a.append(i)
-        cut_b.append(j)
-    return np.array(cut_a, np.int64), np.array(cut_b, np.int64)
+        first, shift = i, j - i
+        near = min(n, i + FIRST_STEP, m - shift)
+        while i < near and list_a[i] == list_b[i + shift]:
+            i += 1
+        if i == first + FIRST_STEP:  # a long one-to-one stretch: doubled steps while they match, then halved ones
+            step, grow = 2 * FIRST_STEP, True
+            while step:
+                low, high, ahead = size * i, size * (i + step), size * shift
+                if i + step <= n and i + shift + step <= m and raw_a[low:high] == raw_b[low + ahead : high + ahead]:
+                    i += step
+                    step = step * 2 if grow else step // 2
+                else:
+                    step, grow = step // 2, False
+        j = i + shift
+        firsts_a.append(first)
+        firsts_b.append(first + shift)
+        counts.append(i - first + 1)
+    run = np.array(counts, np.int64)
+    within = np.arange(int(run.sum())) - np.repeat(np.cumsum(run) - run, run)
+    return np.repeat(np.array(firsts_a, np.int64), run) + within, np.repeat(np.array(firsts_b, np.int64), run) + within
 
 
 def links(ids_a: np.ndarray, ids_b: np.ndarray, length_a: np.ndarray, length_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
