@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlore.functions.text import one_line
-from ledgerlore.functions.vectors import embed_text, fit_text_embedding, mean_vector
+from ledgerlore.functions.vectors import mean_vector
 from ledgerlore.operators import evaluation
+from ledgerlore.operators.postings import build_text_index, search_text_index
 from ledgerlore.operators.similarity import build_index, nearest, search_index, top_k, with_columns
-from ledgerlore.plans.corpus import document_chunks
+from ledgerlore.plans.corpus import CHUNKS_SQL, document_chunks
 from ledgerlore.plans.registry import query
-from ledgerlore.session import materialise
 from ledgerlore.sources.tables import scan
 
 TEST_K = 3
@@ -152,14 +152,40 @@ def probed_recall(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.recall(found, nearest_neighbours(spark, folder))
 
 
-@query("text_search")
+def text_hits_sql(texts: str, queries: str, k: int) -> str:
+    """Top-k by tf × idf in SQL, from relations ``texts`` (id, content) and ``queries`` (qid, content)."""
+    words = r"unnest(regexp_extract_all(lower(coalesce(content, '')), '[\p{L}\p{N}_]+'))"
+    return rf"""
+    WITH texts AS ({texts}), queries AS ({queries}),
+    counted AS (SELECT id, term, count(*) AS tf FROM (SELECT id, {words} AS term FROM texts) GROUP BY ALL),
+    terms AS (
+        SELECT * FROM (SELECT term, ln(((SELECT count(*) FROM texts) + 1.0::DOUBLE) / (count(*) + 1.0::DOUBLE)) AS idf
+                       FROM counted GROUP BY term) WHERE idf > 0),
+    stored AS (SELECT id, term, tf * idf AS x FROM counted JOIN terms USING (term)),
+    lengths AS (SELECT id, sqrt(sum(x * x)) AS l FROM stored GROUP BY id),
+    asked AS (
+        SELECT qid, term, tf * idf AS x FROM (
+            SELECT qid, term, count(*) AS tf FROM (SELECT qid, {words} AS term FROM queries) GROUP BY ALL) JOIN terms USING (term)),
+    asked_lengths AS (SELECT qid, sqrt(sum(x * x)) AS l FROM asked GROUP BY qid),
+    scored AS (
+        SELECT qid, id, round(s / a.l / b.l, 6) AS score
+        FROM (SELECT qid, id, sum(q.x * t.x) AS s FROM asked q JOIN stored t USING (term) GROUP BY qid, id)
+        JOIN asked_lengths a USING (qid) JOIN lengths b USING (id))
+    SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS INTEGER) AS rank, id, score
+    FROM scored QUALIFY rank <= {k}
+    """
+
+
+_CHUNK_TEXTS_SQL = f"SELECT chunk_id AS id, content FROM ({CHUNKS_SQL})"
+_ASKED_SQL = "SELECT conv_id || '/' || turn AS qid, text AS content FROM conversations WHERE role = 'user'"
+
+
+@query("text_search", text_hits_sql(_CHUNK_TEXTS_SQL, _ASKED_SQL, TEST_K))
 def text_search(spark: SparkSession, folder: str) -> DataFrame:
-    """Every user message against all document chunks, both embedded by the fitted text embedding."""
-    chunks = materialise(document_chunks(spark, folder).select("chunk_id", "content"), "chunks")
-    model = fit_text_embedding(chunks.select("content"))
-    stored = embed_text(model, chunks, "content")
+    """Every user message against all document chunks, by weighted postings."""
+    index = build_text_index(document_chunks(spark, folder).select("chunk_id", "content"))
     asked = scan(spark, folder, "conversations").where(F.col("role") == "user").select(
         F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("qid"),
         F.col("text").alias("content"),
     )
-    return top_k(stored, embed_text(model, asked, "content"), TEST_K)
+    return search_text_index(index, asked, TEST_K)
