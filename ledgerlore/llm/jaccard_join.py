@@ -160,16 +160,33 @@ def linked(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     keys = [c for c in units.columns if c not in ("id", "component")]
     rows = units.join(sets, "id").select(*keys, "id", "component", "tokens")
 
-    def join_unit(group: pa.Table) -> pa.Table:
-        ids = group["id"].to_numpy()
-        _, at = np.unique(ids, return_index=True)
-        tokens = C.list_rows(group["tokens"], np.int64)
-        sets = [tokens[i].view(np.uint64) for i in at]
-        _, known = np.unique(group["component"].to_numpy()[at], return_inverse=True)
-        pairs = np.array(self_join(sets, percent, known), np.int64).reshape(-1, 2)
-        return pa.table({"a": ids[at][pairs[:, 0]], "b": ids[at][pairs[:, 1]]})
-
-    return rows.groupBy(*keys).applyInArrow(join_unit, "a long, b long")
+    def join_unit(ids: np.ndarray, tokens: list[np.ndarray], component: np.ndarray) -> np.ndarray:
+        ids, at = np.unique(ids, return_index=True)
+        if len(ids) == 2:  # most units: one comparison, which needs no tree
+            one, other = tokens[at[0]], tokens[at[1]]
+            if component[at[0]] == component[at[1]]:
+                return np.empty((0, 2), np.int64)
+            common = len(np.intersect1d(one, other, assume_unique=True))
+            return ids[None] if common and 100 * common >= percent * (len(one) + len(other) - common) else np.empty((0, 2), np.int64)
+        _, known = np.unique(component[at], return_inverse=True)
+        pairs = np.array(self_join([tokens[i] for i in at], percent, known), np.int64).reshape(-1, 2)
+        return ids[pairs]
+
+    def join_units(group: pa.Table) -> pa.Table:
+        group = group.take(np.argsort(group["unit"].to_numpy(), kind="stable"))
+        starts = np.flatnonzero(np.diff(group["unit"].to_numpy())) + 1
+        tokens = [t.view(np.uint64) for t in C.list_rows(group["tokens"], np.int64)]
+        ids, component = group["id"].to_numpy(), group["component"].to_numpy()
+        found = [np.empty((0, 2), np.int64)]
+        for a, b in zip(np.append(0, starts), np.append(starts, len(ids))):
+            found.append(join_unit(ids[a:b], tokens[a:b], component[a:b]))
+        pairs = np.concatenate(found)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    # Units are dealt to groups of about ``UNIT`` rows, and none has more than that itself.
+    groups = units.count() // UNIT + 1
+    dealt = rows.withColumn("unit", F.xxhash64(*keys)).withColumn("group", F.pmod(F.xxhash64("unit"), F.lit(groups)))
+    return dealt.select("group", "unit", "id", "component", "tokens").groupBy("group").applyInArrow(join_units, "a long, b long")
 
 
 def resolve(members: DataFrame, sets: DataFrame, percent: int, purpose: str, unit: int = UNIT) -> DataFrame:

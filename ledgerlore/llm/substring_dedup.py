@@ -197,10 +197,10 @@ def surroundings(docs: DataFrame, stays: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``(key, places, equal, before, after, kept_in)`` of the rows with paragraphs whose like stays in another document.
+    """``(key, places, kept_in, words)`` of the rows with paragraphs whose like stays in another document.
 
-    ``places`` are the numbers of these paragraphs in order; ``equal`` says for each whether it has the words of the one
-    that stays, ``before`` and ``after`` hold the words around that one, and ``kept_in`` its document. A written table.
+    ``places`` are the numbers of these paragraphs in order and ``kept_in`` the documents of those that stay. ``words``
+    (i, before, after) has, for paragraphs at which a passage begins or stops, the words around the like. A written table.
     """
     rows = materialise(described(docs), "paragraphs")
     each = rows.select("doc_id", "key", F.posexplode("ids").alias("i", "id"))
@@ -221,24 +221,43 @@ def repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     placed = repeated.unionByName(colliding.join(repeated, "id", "left_anti").join(found, "id", "left_semi"))
     placed = materialise(placed.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), "paragraphs")
     groups = placed.groupBy("component").agg(F.min("first").alias("stays"), F.count(F.lit(1)).alias("n_texts"))
-    groups = materialise(groups.select("component", "n_texts", "stays.*"), "paragraphs")
-    around = materialise(surroundings(docs, groups.select("key", "i")), "paragraphs")
-    groups = groups.join(around, ["key", "i"]).select(
-        "component", "n_texts", F.struct("doc_id", "key", "i").alias("stays"), "before", "after"
-    )
-    groups = materialise(groups, "paragraphs")
-    labels = materialise(
-        C.join_groups(placed, groups, "component", "n_texts").select(
-            "id", "n", "stays", "before", "after", (F.col("first") == F.col("stays")).alias("equal")
+    labels = C.join_groups(placed, materialise(groups, "paragraphs"), "component", "n_texts")
+    labels = materialise(labels.select("id", "n", "stays", (F.col("first") == F.col("stays")).alias("equal")), "paragraphs")
+    gone = C.join_groups(C.sieve(each, labels, "id"), labels, "id", "n").where(~F.col("doc_id").eqNullSafe(F.col("stays.doc_id")))
+    inside = F.struct("i", "equal", F.col("stays.doc_id").alias("kept_in"), F.col("stays.key").alias("like"), F.col("stays.i").alias("at"))
+    lost = gone.groupBy("key").agg(F.array_sort(F.collect_set(inside)).alias("x"))
+
+    def next_to(x: str, e, j, step: int):
+        """Whether the paragraph on one side of ``e``, the j-th of the sorted ``x``, is in ``x`` as well; and equal."""
+        other = F.get(x, j + step)
+        beside = F.coalesce(other["i"] == e["i"] + step, F.lit(False))
+        return beside, beside & F.coalesce(other["equal"], F.lit(False))
+
+    # Beside a paragraph that is equal word by word, extending that one says more than a similar paragraph does.
+    clear = F.filter("x", lambda e, j: e["equal"] | ~(next_to("x", e, j, -1)[1] | next_to("x", e, j, 1)[1]))
+    ends = F.transform(
+        "y",
+        lambda e, j: F.struct(
+            *[e[c].alias(c) for c in ("i", "kept_in", "like", "at")],
+            (~next_to("y", e, j, -1)[0]).alias("begins"),
+            (~next_to("y", e, j, 1)[0]).alias("stops"),
         ),
-        "paragraphs",
     )
-    gone = C.join_groups(C.sieve(each, labels, "id"), labels, "id", "n")
-    gone = gone.where(~F.col("doc_id").eqNullSafe(F.col("stays.doc_id"))).dropDuplicates(["key", "i"])
-    inside = F.struct("i", "equal", "before", "after", F.col("stays.doc_id").alias("kept_in"))
-    lost = gone.groupBy("key").agg(F.array_sort(F.collect_list(inside)).alias("x"))
-    parts = [F.col(f"x.{c}").alias(name) for c, name in (("i", "places"), ("equal", "equal"), ("before", "before"), ("after", "after"), ("kept_in", "kept_in"))]
-    return materialise(lost.select("key", *parts), "paragraphs")
+    lost = lost.withColumn("y", clear).select("key", F.col("y.i").alias("places"), F.col("y.kept_in").alias("kept_in"), ends.alias("ends"))
+    lost = materialise(lost, "paragraphs")
+    # Only where a passage begins or stops do the words around its like matter.
+    edges = lost.select("key", F.explode("ends").alias("e")).where("e.begins OR e.stops").select("key", "e.*")
+    edges = edges.withColumn("place", F.xxhash64("like", "at"))
+    asked = edges.groupBy("place").agg(F.first("like").alias("key"), F.first("at").alias("i"), F.count(F.lit(1)).alias("n"))
+    asked = materialise(asked, "paragraphs")
+    around = surroundings(docs, asked.select("key", "i")).withColumn("place", F.xxhash64("key", "i")).drop("key", "i")
+    around = materialise(asked.select("place", "n").join(around, "place"), "paragraphs")
+    words = C.join_groups(edges, around, "place", "n").select(
+        "key",
+        F.struct("i", F.when(F.col("begins"), F.col("before")).alias("before"), F.when(F.col("stops"), F.col("after")).alias("after")).alias("w"),
+    )
+    words = words.groupBy("key").agg(F.array_sort(F.collect_list("w")).alias("words"))
+    return materialise(lost.drop("ends").join(words, "key"), "paragraphs")
 
 
 def shared_end(one: np.ndarray, other: np.ndarray) -> int:
@@ -293,10 +312,7 @@ def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def shortened(batch: pa.RecordBatch, least: int, codes: C.Codes) -> Iterator[tuple[int, str, list[tuple[int, int]], np.ndarray]]:
-    """(row, text, spans, paragraph starts) of the rows of (_, text, places, equal, before, after) that lose something.
-
-    Beside a paragraph that is equal word by word, extending that one says more than a similar paragraph does.
-    """
+    """(row, text, spans, paragraph starts) of the rows of (_, text, places, words) that lose something."""
     texts = batch.column(1)
     for row, places in enumerate(batch.column(2).to_pylist()):
         if not places:
@@ -305,10 +321,8 @@ def shortened(batch: pa.RecordBatch, least: int, codes: C.Codes) -> Iterator[tup
         words, n = coded([text], codes)
         starts = paragraph_starts(words, n)
         ends, _ = paragraph_ends(starts, n)
-        equal, before, after = (batch.column(c)[row].as_py() for c in (3, 4, 5))
-        sure = {i for i, same in zip(places, equal) if same}
-        kept = [at for at, i in enumerate(places) if i in sure or not (i - 1 in sure or i + 1 in sure)]
-        places, before, after = ([x[at] for at in kept] for x in (places, before, after))
+        around = {w["i"]: w for w in batch.column(3)[row].as_py()}
+        before, after = ([(around.get(i) or {}).get(side) or b"" for i in places] for side in ("before", "after"))
         spans = passages(words.astype(np.uint32), starts, ends, places, before, after, least)
         if spans:
             yield row, without_spans(text, spans).decode(), spans, starts
@@ -327,7 +341,7 @@ def paragraph_repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PE
     rows = keyed(docs)
     none = [F.lit(0).cast("long").alias(c) for c in ("n_passages", "words_removed")]
     same = C.sieve(rows, lost, "key", likely=False).select("doc_id", "text", *none, F.array().cast("array<long>").alias("kept_in"))
-    touched = C.sieve(rows, lost, "key").join(lost, "key", "left").select("doc_id", "text", "places", "equal", "before", "after", "kept_in")
+    touched = C.sieve(rows, lost, "key").join(lost, "key", "left").select("doc_id", "text", "places", "words", "kept_in")
     names = same.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +351,7 @@ def paragraph_repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PE
             numbers, removed, kept = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), [[]] * len(texts)
             for row, texts[row], spans, starts in shortened(batch, least, codes):
                 numbers[row], removed[row] = len(spans), sum(b - a for a, b in spans)
-                owners = zip(batch.column(2)[row].as_py(), batch.column(6)[row].as_py())
+                owners = zip(batch.column(2)[row].as_py(), batch.column(4)[row].as_py())
                 inside = {k for i, k in owners if any(a <= starts[i] < b for a, b in spans)}
                 kept[row] = sorted(inside, key=lambda k: (k is not None, k))
             columns = [pa.array(texts, pa.string()), pa.array(numbers), pa.array(removed), pa.array(kept, pa.list_(pa.int64()))]
@@ -356,7 +370,7 @@ def without_repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PERC
     text = F.col("text").cast("string")
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("key"), text.alias("text"))
     same = C.sieve(rows, lost, "key", likely=False).select("row", "text")
-    touched = C.sieve(rows, lost, "key").join(lost, "key", "left").select("row", "text", "places", "equal", "before", "after")
+    touched = C.sieve(rows, lost, "key").join(lost, "key", "left").select("row", "text", "places", "words")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = C.Codes()
