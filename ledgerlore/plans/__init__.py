@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("relational", "corpus", "search", "dialogs", "routing", "upkeep", "wording")
+_MODULES = ("relational", "corpus", "search", "dialogs", "routing", "answers", "upkeep", "wording")
 
 
 def load() -> None:
