@@ -15,6 +15,7 @@ from ledgerlore.plans.registry import query
 from ledgerlore.schemas import CHUNKS
 from ledgerlore.session import materialise, scratch_path
 from ledgerlore.sources.tables import scan
+from ledgerlore.streaming.cell_index import search_cells, sync_cells
 from ledgerlore.streaming.index_sync import read_index, sync_index
 
 EMBEDDING_DIM = 256
@@ -95,3 +96,50 @@ def index_sync(spark: SparkSession, folder: str) -> DataFrame:
     return read_index(spark, index).select(
         "chunk_id", "policy_name", "char_count", F.md5("content").alias("digest"), F.size("embedding").alias("dims")
     )
+
+
+# The later state of the vectors: those of toxic documents are gone, those of low quality are read backwards.
+_LATER_VECTORS_SQL = """
+    SELECT vec_id, CASE WHEN l.quality = 0 THEN list_reverse(embedding) ELSE embedding END AS embedding
+    FROM embeddings e LEFT JOIN labels l ON l.doc_id = e.vec_id WHERE coalesce(l.toxic, 0) = 0
+"""
+INDEX_K = 5
+
+
+@query(
+    "synced_index_search",
+    f"""
+    WITH stored AS ({_LATER_VECTORS_SQL}),
+    scored AS (
+        SELECT q.vec_id AS qid, s.vec_id AS id,
+               round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(s.embedding AS DOUBLE[])), 6) AS score
+        FROM embeddings q, stored s WHERE q.vec_id % 20 = 0)
+    SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS INTEGER) AS rank, id, score
+    FROM scored QUALIFY rank <= {INDEX_K}
+    """,
+)
+def synced_index_search(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors enter the index, an idle sync takes nothing, a third takes the changes; then the index is searched.
+
+    Queries are the vectors whose id is divisible by 20, against all rows.
+    """
+    base = scratch_path(spark, "cells")
+    source, index, checkpoint = f"{base}/changes", f"{base}/index", f"{base}/checkpoint"
+    old = scan(spark, folder, "embeddings").select("vec_id", "embedding")
+    labels = scan(spark, folder, "labels").select(F.col("doc_id").alias("vec_id"), "quality", "toxic")
+    kept = old.join(labels, "vec_id", "left").where(F.coalesce("toxic", F.lit(0)) == 0)
+    turned = F.when(F.col("quality") == 0, F.reverse("embedding")).otherwise(F.col("embedding"))
+    later = kept.select("vec_id", turned.alias("embedding"))
+    changes = old.withColumn("_change_type", F.lit(INSERT))
+
+    def sync() -> int:
+        return sync_cells(spark, source, changes.schema, index, checkpoint)
+
+    changes.write.mode("append").parquet(source)
+    sync()
+    if sync():
+        raise RuntimeError("an idle run must do nothing")
+    change_feed(old, later, "vec_id").select(changes.columns).write.mode("append").parquet(source)
+    sync()
+    queries = old.where(F.col("vec_id") % 20 == 0).withColumnRenamed("vec_id", "qid")
+    return search_cells(spark, index, queries, INDEX_K)
