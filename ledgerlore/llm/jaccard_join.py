@@ -110,25 +110,22 @@ def sets_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
     return once.join(wanted.select("id", "doc_id"), ["id", "doc_id"], "left_semi").select("id", "tokens")
 
 
-def shared_tokens(tokens: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``tokens`` (id, token, ...) whose token is likely shared, and ``(token, low, m)`` of the tokens that
-    several ids have, as a written table. Most tokens are in one text only and fall to a bitmap before they travel again."""
+def shared_among(tokens: DataFrame, purpose: str) -> DataFrame:
+    """``(token, low, m)`` of the tokens that several ids have, as a written table; ``tokens`` is (id, token, ...)."""
     shared = tokens.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("m"))
-    shared = materialise(shared.where(F.col("low") != F.col("high")).select("token", "low", "m"), purpose)
-    return C.sieve(tokens, shared, "token"), shared
+    return materialise(shared.where(F.col("low") != F.col("high")).select("token", "low", "m"), purpose)
 
 
-def candidates(tokens: DataFrame, percent: int | None, purpose: str) -> DataFrame:
+def candidates(tokens: DataFrame, percent: int, purpose: str) -> DataFrame:
     """``(hub, id)`` such that ids which may be linked have a hub in common; ``tokens`` is (id, n, token).
 
     Linked sets share a token and have sizes within 100 / ``percent`` of each other. So the rows of a shared token meet
     again by bands of that width in the logarithm of the size, each in its own band and the next: sets that only have a
-    passage in common mostly differ in size and drop out before any set is shipped. Without ``percent`` there are no bands.
+    passage in common mostly differ in size and drop out before any set is shipped. Most tokens are in one text only
+    and fall to a bitmap before they travel again.
     """
-    rows, shared = shared_tokens(tokens, purpose)
-    if percent is None:
-        return materialise(C.join_groups(rows, shared, "token", "m").select(F.col("low").alias("hub"), "id").distinct(), purpose)
-    rows = C.join_groups(rows, shared.select("token", "m"), "token", "m")
+    shared = shared_among(tokens, purpose)
+    rows = C.join_groups(C.sieve(tokens, shared, "token"), shared.select("token", "m"), "token", "m")
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent + 1e-6))
     banded = rows.select("id", F.explode(F.array(band, band + 1)).alias("band"), "token")
     banded = materialise(banded.select(F.xxhash64("token", "band").alias("key"), "id").distinct(), purpose)
@@ -155,19 +152,29 @@ def sieved(members: DataFrame, bits: DataFrame, percent: int, purpose: str, unit
     return materialise(kept.unionByName(sized.where(F.col("m") > unit).select("hub", "id")), purpose)
 
 
-def linked(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) inside each unit; ``units`` is (unit columns..., id, component)."""
+def few_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Links (i, j) of a few sets, from how many tokens each two share."""
+    n = np.array([len(s) for s in sets])
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    member = np.zeros((len(sets), int(token.max(initial=0)) + 1), np.float32)
+    member[np.repeat(np.arange(len(sets)), n), token] = 1
+    common = (member @ member.T).astype(np.int64)
+    close = (common > 0) & (100 * common >= percent * (n[:, None] + n - common))
+    return np.argwhere(np.triu(close, 1))
+
+
+def linked(units: DataFrame, sets: DataFrame, percent: int, few: int = 2) -> DataFrame:
+    """Links (a, b) inside each unit; ``units`` is (unit columns..., id, component). Up to ``few`` sets are compared
+    without a tree."""
     keys = [c for c in units.columns if c not in ("id", "component")]
     rows = units.join(sets, "id").select(*keys, "id", "component", "tokens")
 
     def join_unit(ids: np.ndarray, tokens: list[np.ndarray], component: np.ndarray) -> np.ndarray:
         ids, at = np.unique(ids, return_index=True)
-        if len(ids) == 2:  # most units: one comparison, which needs no tree
-            one, other = tokens[at[0]], tokens[at[1]]
-            if component[at[0]] == component[at[1]]:
-                return np.empty((0, 2), np.int64)
-            common = len(np.intersect1d(one, other, assume_unique=True))
-            return ids[None] if common and 100 * common >= percent * (len(one) + len(other) - common) else np.empty((0, 2), np.int64)
+        if len(ids) <= few:
+            pairs = few_links([tokens[i] for i in at], percent)
+            pairs = pairs[component[at[pairs[:, 0]]] != component[at[pairs[:, 1]]]]
+            return ids[pairs]
         _, known = np.unique(component[at], return_inverse=True)
         pairs = np.array(self_join([tokens[i] for i in at], percent, known), np.int64).reshape(-1, 2)
         return ids[pairs]
@@ -189,7 +196,7 @@ def linked(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.select("group", "unit", "id", "component", "tokens").groupBy("group").applyInArrow(join_units, "a long, b long")
 
 
-def resolve(members: DataFrame, sets: DataFrame, percent: int, purpose: str, unit: int = UNIT) -> DataFrame:
+def resolve(members: DataFrame, sets: DataFrame, percent: int, purpose: str, unit: int = UNIT, few: int = 2) -> DataFrame:
     """``(id, component)`` of the ids that are linked, given ``members`` (hub, id): every pair of ids that may be
     linked has a hub in common. The hub is a member of its own unit. Both arguments should be written tables."""
     # the hub itself may have dropped out, so each unit is numbered by it but joined to whoever is left
@@ -201,7 +208,7 @@ def resolve(members: DataFrame, sets: DataFrame, percent: int, purpose: str, uni
     )
     hubs = sizes.select("hub", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.col("hub").alias("id"))
     first = chunked.unionByName(hubs).withColumn("component", F.col("id"))
-    links = materialise(linked(first, sets, percent), purpose)
+    links = materialise(linked(first, sets, percent, few), purpose)
     found = C.components(links, purpose)
     large = sized.where(F.col("m") > unit)
     if large.isEmpty():
@@ -240,7 +247,7 @@ def resolve(members: DataFrame, sets: DataFrame, percent: int, purpose: str, uni
         return found
     sides = pairs.select("hub", "pair", F.explode(F.array_distinct(F.array("x", "y"))).alias("z"))
     again = placed.join(sides.select("hub", "pair", "z.*"), ["hub", "whole", "own", "chunk"]).select("pair", "id", "component")
-    more = materialise(linked(again, sets, percent), purpose)
+    more = materialise(linked(again, sets, percent, few), purpose)
     return C.components(links.unionByName(more), purpose)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlore.llm import common as C
-from ledgerlore.llm.jaccard_join import candidates, resolve
+from ledgerlore.llm.jaccard_join import resolve, shared_among
 from ledgerlore.session import materialise
 
 SHINGLE, PERCENT = 5, 80
@@ -147,11 +147,17 @@ def sets_of(docs: DataFrame, texts: DataFrame) -> DataFrame:
             ends, text = paragraph_ends(starts, n)
             found = C.signed(paragraph_ids(words, starts, ends))
             wanted = np.flatnonzero(C.passes(ids.value, found & (C.FILTER_BITS - 1)))
-            sets = [C.signed(np.unique(C.shingle_codes(words[starts[i] : ends[i]], SHINGLE))) for i in wanted]
+            size = (ends - starts)[wanted] - SHINGLE + 1
+            offset = np.cumsum(size) - size
+            at = np.repeat(starts[wanted] - offset, size) + np.arange(int(size.sum()))
+            tokens, owner = C.shingle_codes(words, SHINGLE)[at], np.repeat(np.arange(len(wanted)), size)
+            order = np.lexsort((tokens, owner))
+            tokens, owner = tokens[order], owner[order]
+            new = np.ones(len(tokens), bool)
+            new[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
             keys = batch.column(1).to_numpy()[text[wanted]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found[wanted]), pa.array(keys, pa.int64()), C.lists(sets, pa.int64())], names=["id", "key", "tokens"]
-            )
+            sets = split(C.signed(tokens[new]), owner[new], len(wanted))
+            yield pa.RecordBatch.from_arrays([pa.array(found[wanted]), pa.array(keys, pa.int64()), sets], names=["id", "key", "tokens"])
 
     built = C.sieve(keyed(docs), texts, "key").mapInArrow(build, "id long, key long, tokens array<long>")
     once = built.groupBy("id", "key").agg(F.first("tokens").alias("tokens"))
@@ -163,6 +169,47 @@ def bit(column: str):
     return F.col(column).bitwiseAND(C.FILTER_BITS - 1).cast("int").alias("bit")
 
 
+def occurrences(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(doc_id, key, i, id)``: the paragraphs of ``described`` rows that are likely among the ids of ``wanted``."""
+    bitmap = rows.sparkSession.sparkContext.broadcast(C.id_filter(wanted.select(bit("id"))))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, row, place = flat(batch.column(2))
+            keep = C.passes(bitmap.value, ids & (C.FILTER_BITS - 1))
+            row = pa.array(row[keep])
+            columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(place[keep], pa.int32()), pa.array(ids[keep])]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "i", "id"])
+
+    return rows.select("doc_id", "key", "ids").mapInArrow(pick, "doc_id long, key long, i int, id long")
+
+
+def colliding_ids(rows: DataFrame) -> DataFrame:
+    """``(hub, id)``: paragraphs that share a band key with others, under the smallest id that has it."""
+    bands = rows.select("ids", F.posexplode("bands").alias("j", "token"))
+    tokens = bands.select(F.col("ids")[F.floor(F.col("j") / BANDS).cast("int")].alias("id"), "token")
+    shared = shared_among(tokens, "paragraphs")
+    # Most keys are of one paragraph only and fall to a bitmap before they travel again.
+    bitmap = rows.sparkSession.sparkContext.broadcast(C.id_filter(shared.select(bit("token"))))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = flat(batch.column(1))[0]
+            keep = C.passes(bitmap.value, keys & (C.FILTER_BITS - 1))
+            ids = np.repeat(flat(batch.column(0))[0], BANDS)[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys[keep])], names=["id", "token"])
+
+    likely = rows.select("ids", "bands").mapInArrow(pick, "id long, token long")
+    return materialise(C.join_groups(likely, shared, "token", "m").select(F.col("low").alias("hub"), "id").distinct(), "paragraphs")
+
+
+def flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Elements of all lists, and for each the row and the place in it."""
+    n = np.diff(column.offsets.to_numpy())
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+    return values, np.repeat(np.arange(len(n)), n), np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
+
+
 def surroundings(docs: DataFrame, stays: DataFrame) -> DataFrame:
     """``(key, i, before, after)``: the words around paragraph ``i`` of the row ``key``, for each of ``stays`` (key, i).
 
@@ -208,22 +255,20 @@ def repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     repeated = materialise(
         each.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "paragraphs"
     )
-    bands = rows.select("ids", F.posexplode("bands").alias("j", "token"))
-    tokens = bands.select(F.col("ids")[F.floor(F.col("j") / BANDS).cast("int")].alias("id"), "token")
-    members = candidates(tokens, None, "paragraphs")
+    members = colliding_ids(rows)
     near = materialise(members.select("id").distinct(), "paragraphs")
     # Paragraphs that collide may occur once, and then are not among the repeated ones.
-    colliding = C.sieve(each, near, "id").join(near, "id", "left_semi")
+    colliding = occurrences(rows, near).join(near, "id", "left_semi")
     colliding = materialise(colliding.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "paragraphs")
     sets = materialise(sets_of(docs, materialise(colliding.select("id", F.col("first.key").alias("key")), "paragraphs")), "paragraphs")
-    found = materialise(resolve(members, sets, percent, "paragraphs"), "paragraphs")
+    found = materialise(resolve(members, sets, percent, "paragraphs", few=64), "paragraphs")
 
     placed = repeated.unionByName(colliding.join(repeated, "id", "left_anti").join(found, "id", "left_semi"))
     placed = materialise(placed.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), "paragraphs")
     groups = placed.groupBy("component").agg(F.min("first").alias("stays"), F.count(F.lit(1)).alias("n_texts"))
     labels = C.join_groups(placed, materialise(groups, "paragraphs"), "component", "n_texts")
     labels = materialise(labels.select("id", "n", "stays", (F.col("first") == F.col("stays")).alias("equal")), "paragraphs")
-    gone = C.join_groups(C.sieve(each, labels, "id"), labels, "id", "n").where(~F.col("doc_id").eqNullSafe(F.col("stays.doc_id")))
+    gone = C.join_groups(occurrences(rows, labels), labels, "id", "n").where(~F.col("doc_id").eqNullSafe(F.col("stays.doc_id")))
     inside = F.struct("i", "equal", F.col("stays.doc_id").alias("kept_in"), F.col("stays.key").alias("like"), F.col("stays.i").alias("at"))
     lost = gone.groupBy("key").agg(F.array_sort(F.collect_set(inside)).alias("x"))
 
