@@ -38,12 +38,28 @@ _SEEDS = np.random.default_rng(17).integers(1, 1 << 63, BANDS * ROWS, dtype=np.u
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def coded(texts: list[bytes], codes: C.Codes) -> tuple[np.ndarray, np.ndarray]:
-    """Word codes of all texts one after the other, and how many words each text has; A-Z in lower case."""
-    words = [t.lower().split() for t in texts]
-    n = np.array([len(w) for w in words], np.int64)
-    flat = [C.word_codes(w, codes) for w in words]
-    return np.concatenate(flat) if flat else np.empty(0, np.uint64), n
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LETTER = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LETTER[65:91] = _LETTER[97:123]  # A-Z count as a-z
+
+
+def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit codes of the words of all texts one after the other, and how many words each text has.
+
+    Words are split at ASCII white space, with A-Z in lower case. A code is a polynomial over the word's bytes; all
+    words are coded at once.
+    """
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    at = np.flatnonzero(~_SPACE[data])
+    if not len(at):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+    size = np.diff(np.append(first, len(at)))
+    powers = np.cumprod(np.full(int(size.max()), np.uint64(0x9E3779B97F4A7C15)))
+    within = np.arange(len(at)) - np.repeat(first, size)
+    codes = C.mixed(np.add.reduceat(_LETTER[data[at]] * powers[within], first) + size.astype(np.uint64))
+    stops = np.cumsum(np.array([len(t) + 1 for t in texts]))
+    return codes, np.diff(np.searchsorted(at[first], stops), prepend=0)
 
 
 def paragraph_starts(words: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -123,9 +139,8 @@ def described(docs: DataFrame) -> DataFrame:
     """``(doc_id, key, ids, bands)`` for every row: the digests of its paragraphs in order, and their band keys."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = C.Codes()
         for batch in C.byte_slices(batches, 2, SLICE):
-            words, n = coded(C.byte_texts(batch.column(2)), codes)
+            words, n = coded(C.byte_texts(batch.column(2)))
             starts = paragraph_starts(words, n)
             ends, text = paragraph_ends(starts, n)
             ids = split(C.signed(paragraph_ids(words, starts, ends)), text, batch.num_rows)
@@ -140,9 +155,8 @@ def sets_of(docs: DataFrame, texts: DataFrame) -> DataFrame:
     ids = docs.sparkSession.sparkContext.broadcast(C.id_filter(texts.select(bit("id"))))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = C.Codes()
         for batch in C.byte_slices(batches, 2, SLICE):
-            words, n = coded(C.byte_texts(batch.column(2)), codes)
+            words, n = coded(C.byte_texts(batch.column(2)))
             starts = paragraph_starts(words, n)
             ends, text = paragraph_ends(starts, n)
             found = C.signed(paragraph_ids(words, starts, ends))
@@ -219,9 +233,8 @@ def surroundings(docs: DataFrame, stays: DataFrame) -> DataFrame:
     rows = C.sieve(keyed(docs), asked, "key").dropDuplicates(["key"]).join(asked, "key").select("key", "places", "text")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = C.Codes()
         for batch in C.byte_slices(batches, 2, SLICE):
-            words, n = coded(C.byte_texts(batch.column(2)), codes)
+            words, n = coded(C.byte_texts(batch.column(2)))
             starts = paragraph_starts(words, n)
             ends, text = paragraph_ends(starts, n)
             stop = np.cumsum(n)
@@ -356,21 +369,24 @@ def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-def shortened(batch: pa.RecordBatch, least: int, codes: C.Codes) -> Iterator[tuple[int, str, list[tuple[int, int]], np.ndarray]]:
+def shortened(batch: pa.RecordBatch, least: int) -> Iterator[tuple[int, str, list[tuple[int, int]], np.ndarray]]:
     """(row, text, spans, paragraph starts) of the rows of (_, text, places, words) that lose something."""
-    texts = batch.column(1)
+    texts = C.byte_texts(batch.column(1))
+    words, n = coded(texts)
+    starts = paragraph_starts(words, n)
+    ends, text = paragraph_ends(starts, n)
+    stop, bounds = np.cumsum(n), np.searchsorted(text, np.arange(len(texts) + 1))
+    words = words.astype(np.uint32)
     for row, places in enumerate(batch.column(2).to_pylist()):
         if not places:
             continue
-        text = texts[row].as_py().encode()
-        words, n = coded([text], codes)
-        starts = paragraph_starts(words, n)
-        ends, _ = paragraph_ends(starts, n)
+        begin, own = stop[row] - n[row], slice(bounds[row], bounds[row + 1])
         around = {w["i"]: w for w in batch.column(3)[row].as_py()}
         before, after = ([(around.get(i) or {}).get(side) or b"" for i in places] for side in ("before", "after"))
-        spans = passages(words.astype(np.uint32), starts, ends, places, before, after, least)
+        first, last = starts[own] - begin, ends[own] - begin
+        spans = passages(words[begin : stop[row]], first, last, places, before, after, least)
         if spans:
-            yield row, without_spans(text, spans).decode(), spans, starts
+            yield row, without_spans(texts[row], spans).decode(), spans, first
 
 
 def paragraph_repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -390,11 +406,10 @@ def paragraph_repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PE
     names = same.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = C.Codes()
         for batch in C.byte_slices(batches, 1, SLICE):
             texts = batch.column(1).to_pylist()
             numbers, removed, kept = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), [[]] * len(texts)
-            for row, texts[row], spans, starts in shortened(batch, least, codes):
+            for row, texts[row], spans, starts in shortened(batch, least):
                 numbers[row], removed[row] = len(spans), sum(b - a for a, b in spans)
                 owners = zip(batch.column(2)[row].as_py(), batch.column(4)[row].as_py())
                 inside = {k for i, k in owners if any(a <= starts[i] < b for a, b in spans)}
@@ -418,10 +433,9 @@ def without_repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PERC
     touched = C.sieve(rows, lost, "key").join(lost, "key", "left").select("row", "text", "places", "words")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = C.Codes()
         for batch in C.byte_slices(batches, 1, SLICE):
             texts, keep = batch.column(1).to_pylist(), np.ones(batch.num_rows, bool)
-            for row, texts[row], _, _ in shortened(batch, least, codes):
+            for row, texts[row], _, _ in shortened(batch, least):
                 keep[row] = bool(texts[row].strip())
             out = [batch.column(0), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(out, names=["row", "text"]).filter(pa.array(keep))
