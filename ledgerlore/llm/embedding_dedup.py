@@ -52,13 +52,12 @@ def points_of(rows: DataFrame) -> DataFrame:
     A vector is usable if it has components, all of them finite, and a length. ``pid`` is a 64-bit hash of the vector.
     """
     doubles = F.transform("embedding", lambda x: x.cast("double"))
-    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     largest = F.array_max(F.transform("vector", F.abs))
     # Scaled by the largest component first, so that no square leaves the range of doubles.
     safe = F.transform("vector", lambda x: x / F.col("largest"))
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
     read = rows.select(F.col("vec_id").cast("long").alias("vec_id"), key_of().alias("pid"), doubles.alias("vector"))
-    usable = read.where(F.col("vector").isNotNull() & (F.size("vector") > 0) & finite).withColumn("largest", largest)
+    usable = read.where(F.col("pid").isNotNull()).withColumn("largest", largest)
     usable = usable.where(F.col("largest") > 0)
     found = usable.groupBy("pid").agg(
         F.first("vector").alias("vector"), F.first("largest").alias("largest"), F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies")
@@ -69,8 +68,10 @@ def points_of(rows: DataFrame) -> DataFrame:
 
 
 def key_of() -> Column:
-    """The point of an embedding; -0.0 is 0.0."""
-    return F.xxhash64(F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0)))
+    """The point of an embedding, null for one that is not usable but for its length; -0.0 is 0.0."""
+    doubles = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))  # not so for NaN
+    return F.when(finite & (F.size("embedding") > 0), F.xxhash64(doubles))
 
 
 def k_means(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
@@ -420,13 +421,17 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, overlap: int
     for size in sizes:
         found = _labels(read.where(F.size("embedding") == size), threshold, overlap, cell)
         labels = found if labels is None else labels.unionByName(found)
-    if labels is None:
-        found = keyed.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    else:
-        found = C.join_groups(keyed, materialise(labels, "embeddings"), "pid", "copies", "left").select(
-            "vec_id",
-            F.coalesce(F.col("n") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
-            F.coalesce("smallest", "vec_id").alias("component_id"),
+    found = keyed.where(F.col("pid").isNull() if labels is not None else F.lit(True)).select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
+    )
+    if labels is not None:
+        joined = C.join_groups(keyed.where(F.col("pid").isNotNull()), materialise(labels, "embeddings"), "pid", "copies", "left")
+        found = found.unionByName(
+            joined.select(
+                "vec_id",
+                F.coalesce(F.col("n") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
+                F.coalesce("smallest", "vec_id").alias("component_id"),
+            )
         )
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 

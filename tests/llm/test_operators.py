@@ -130,11 +130,62 @@ def test_jaccard_sets_come_once_for_each_digest(spark, monkeypatch):
 
 def test_substring_dedup(odd, none):
     rows = {r.doc_id: r for r in substring_dedup.paragraph_repeats(odd).collect()}
-    assert rows[1].n_removed == 0 and rows[2].removed == [1] and rows[2].kept_in == [1] and rows[2].words_removed == 60
-    assert rows[9].n_removed == 1 and rows[6].n_removed == 0 and rows[3].n_paragraphs == 0
-    kept = {r.doc_id: r.text for r in substring_dedup.without_repeats(odd).collect()}
-    assert kept[2] == "intro line here\nand an end" and 9 not in kept and kept[6] == LONG and kept[3] is None
-    assert substring_dedup.paragraph_repeats(none).count() == 0
+    assert len(rows) == 9 and rows[1].n_passages == 0 and rows[1].text == PASSAGE
+    assert rows[2].text == "intro line here\nand an end" and rows[2].kept_in == [1] and rows[2].words_removed == 60
+    assert rows[9].text == "" and rows[9].n_passages == 1 and rows[6].text == LONG and rows[3].text is None and rows[8].text == ODD[8][1]
+    left = substring_dedup.without_repeats(odd)
+    kept = {r.doc_id: r.text for r in left.collect()}
+    assert left.columns == odd.columns and left.count() == len(ODD) - 1
+    assert kept[2] == "intro line here\nand an end" and 9 not in kept and kept[6] == LONG and kept[3] is None and kept[4] == ""
+    assert substring_dedup.paragraph_repeats(none).count() == 0 and substring_dedup.without_repeats(none).count() == 0
+
+
+def shared_runs(rows, n=50):
+    """Runs of ``n`` words that several documents have."""
+    seen = {}
+    for doc, text in rows:
+        words = (text or "").lower().split()
+        for i in range(len(words) - n + 1):
+            seen.setdefault(" ".join(words[i : i + n]), set()).add(doc)
+    return {run for run, docs in seen.items() if len(docs) > 1}
+
+
+def test_passages_inside_and_across_lines(spark):
+    """Against brute force: no run of 50 words is left in two documents, and what is unique stays word for word."""
+    rng = random.Random(3)
+    prose = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    docs = []
+    for passage in [prose(rng.randint(51, 90)) for _ in range(60)]:
+        for _ in range(rng.randint(2, 4)):
+            words = [prose(rng.randint(0, 120)), passage, prose(rng.randint(0, 120))]
+            docs.append(([" ".join(w) for w in words], "".join(w + rng.choice(" " * 12 + "\n") for w in sum(words, [])).strip()))
+    rng.shuffle(docs)
+    rows = [(i, text) for i, (_, text) in enumerate(docs)]
+    found = {r.doc_id: r for r in substring_dedup.paragraph_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    first = {}
+    for i, ((_, passage, _), _) in enumerate(docs):
+        first.setdefault(passage, i)
+    assert len(shared_runs(rows)) > 1000 and not shared_runs([(i, r.text) for i, r in found.items()])
+    for i, ((before, passage, after), text) in enumerate(docs):
+        if first[passage] == i:
+            assert found[i].text == text and found[i].n_passages == 0
+        else:
+            assert found[i].text.split() == f"{before} {after}".split() and found[i].kept_in == [first[passage]]
+
+
+def test_repeated_passages_of_the_documents(spark):
+    rows = [tuple(r) for r in C.documents(spark, FOLDER).select("doc_id", "text").collect()]
+    found = substring_dedup.paragraph_repeats(C.documents(spark, FOLDER)).collect()
+    before, after = shared_runs(rows), shared_runs([(r.doc_id, r.text) for r in found])
+    assert len(after) <= 0.02 * len(before) and len(found) == len(rows)
+
+
+def test_word_codes_agree_with_splitting():
+    texts = [" A b\tc\n".encode(), b"", b"  ", "ÄB x".encode(), b"b A"]
+    codes, n = substring_dedup.coded(texts)
+    words = [w for t in texts for w in t.lower().split()]
+    assert n.tolist() == [len(t.lower().split()) for t in texts]
+    assert len({(c, w) for c, w in zip(codes.tolist(), words)}) == len(set(words)) == len(set(codes.tolist()))
 
 
 def test_decontamination(spark, odd, none):
