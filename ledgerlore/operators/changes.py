@@ -2,39 +2,73 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerlore.session import materialise
 
+BUCKETS = 1 << 16
 INSERT, DELETE = "insert", "delete"
 BEFORE, AFTER = "update_preimage", "update_postimage"
 
 
+def _digest(df: DataFrame) -> Column:
+    """128 bits over all columns of a row; a null is not skipped, be it a value or an element of an array."""
+    parts = []
+    for field in df.schema.fields:
+        c = F.col(field.name)
+        if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.AtomicType):
+            parts += [c.isNull(), F.size(c), F.transform(c, lambda x: x.isNull()), c]
+        elif isinstance(field.dataType, T.AtomicType):
+            parts += [c.isNull(), c]
+        else:
+            parts.append(F.to_json(F.struct(c), {"ignoreNullFields": "false"}))
+    return F.struct(F.xxhash64(*parts).alias("x"), F.xxhash64(F.lit(1), *parts).alias("y"))
+
+
+def changed_keys(old: DataFrame, new: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """``(key, in_old, in_new)`` of the keys whose rows differ, as a written table.
+
+    Digests are compared by buckets of keys first; what lies in a bucket whose digests add up to the same is never
+    looked at again. Of the other buckets key and digest alone are shuffled.
+    """
+
+    def narrow(df: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        return df.select(F.col(key).alias("k"), _digest(df.select(*new.columns)).alias("d"), bucket.alias("bucket"))
+
+    def summed(df: DataFrame, side: str) -> DataFrame:
+        total = F.struct(F.count(F.lit(1)), F.bit_xor("d.x"), F.bit_xor("d.y")).alias(side)
+        return narrow(df).groupBy("bucket").agg(total)
+
+    both = summed(old, "a").join(summed(new, "b"), "bucket", "full_outer")
+    open_buckets = materialise(both.where(~F.col("a").eqNullSafe(F.col("b"))).select("bucket"), "buckets")
+    # At most ``buckets`` numbers.
+    a, b = (narrow(df).join(F.broadcast(open_buckets), "bucket", "left_semi").select("k", "d") for df in (old, new))
+    a, b = a.withColumnRenamed("d", "o").alias("a"), b.withColumnRenamed("d", "n").alias("b")
+    met = a.join(b, F.col("a.k").eqNullSafe(F.col("b.k")), "full_outer").where(~F.col("o").eqNullSafe(F.col("n")))
+    in_old, in_new = F.col("o").isNotNull(), F.col("n").isNotNull()
+    found = met.select(F.when(in_old, F.col("a.k")).otherwise(F.col("b.k")).alias("k"), in_old.alias("in_old"), in_new.alias("in_new"))
+    return materialise(found, "changed-keys")
+
+
 def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of both snapshots that differ, labelled by what happened to their key.
+    """Rows of both snapshots that differ, labelled by what happened to their key; a null key is a key like others.
 
-    The snapshots meet once, on the key. Whether a side has the key comes from a marker, since every other
-    column may be null.
+    Which keys changed is found from digests; the wide rows are read once more for those keys alone, so the rows that
+    did not change are never shuffled while the changed keys are few enough to travel. Both snapshots are read several
+    times and should be tables.
     """
-    columns = new.columns
-    a = old.select(F.col(key), F.struct(*columns).alias("o"))
-    b = new.select(F.col(key), F.struct(*columns).alias("n"))
-    both = a.join(b, key, "full_outer")
-    gone, added = F.col("n").isNull(), F.col("o").isNull()
-    same = reduce(lambda x, y: x & y, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in columns])
-    changes = (
-        F.when(added, F.array(F.struct(F.lit(INSERT).alias("_change_type"), F.col("n").alias("r"))))
-        .when(gone, F.array(F.struct(F.lit(DELETE).alias("_change_type"), F.col("o").alias("r"))))
-        .when(
-            ~same,
-            F.array(
-                F.struct(F.lit(BEFORE).alias("_change_type"), F.col("o").alias("r")),
-                F.struct(F.lit(AFTER).alias("_change_type"), F.col("n").alias("r")),
-            ),
-        )
-    )
-    return both.select(F.explode(changes).alias("c")).select("c.r.*", "c._change_type")
+    changed = changed_keys(old, new, key)
+    here = F.col(key).eqNullSafe(F.col("k"))
+
+    def rows(df: DataFrame, side: str, label: Column) -> DataFrame:
+        wanted = changed.where(side).select("k", label.alias("_change_type"))
+        return df.select(*new.columns).join(wanted, here).select(*new.columns, "_change_type")
+
+    before = rows(old, "in_old", F.when(F.col("in_new"), BEFORE).otherwise(DELETE))
+    return before.unionByName(rows(new, "in_new", F.when(F.col("in_old"), AFTER).otherwise(INSERT)))
 
 
 def latest_change(feed: DataFrame, key: str, version: str | None = None) -> DataFrame:

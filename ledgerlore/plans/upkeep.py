@@ -53,7 +53,8 @@ def later_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def chunk_changes(spark: SparkSession, folder: str) -> DataFrame:
-    feed = change_feed(document_chunks(spark, folder), later_chunks(spark, folder), "chunk_id")
+    old, later = (materialise(rows, "snapshot") for rows in (document_chunks(spark, folder), later_chunks(spark, folder)))
+    feed = change_feed(old, later, "chunk_id")
     return feed.select("chunk_id", "policy_name", "char_count", F.md5("content").alias("digest"), "_change_type")
 
 
@@ -63,7 +64,8 @@ def chunk_changes(spark: SparkSession, folder: str) -> DataFrame:
 )
 def applied_changes(spark: SparkSession, folder: str) -> DataFrame:
     old = materialise(document_chunks(spark, folder), "snapshot")
-    applied = apply_changes(old, change_feed(old, later_chunks(spark, folder), "chunk_id"), "chunk_id")
+    feed = change_feed(old, materialise(later_chunks(spark, folder), "snapshot"), "chunk_id")
+    applied = apply_changes(old, feed, "chunk_id")
     return applied.select(
         "chunk_id", "source_file", "policy_name", "page_number", "char_count", F.md5("content").alias("digest")
     )
@@ -91,7 +93,8 @@ def index_sync(spark: SparkSession, folder: str) -> DataFrame:
     sync()
     if sync():
         raise RuntimeError("an idle run must do nothing")
-    change_feed(old, later_chunks(spark, folder), "chunk_id").write.mode("append").parquet(source)
+    later = materialise(later_chunks(spark, folder), "snapshot")
+    change_feed(old, later, "chunk_id").write.mode("append").parquet(source)
     sync()
     return read_index(spark, index).select(
         "chunk_id", "policy_name", "char_count", F.md5("content").alias("digest"), F.size("embedding").alias("dims")
@@ -129,7 +132,7 @@ def synced_index_search(spark: SparkSession, folder: str) -> DataFrame:
     labels = scan(spark, folder, "labels").select(F.col("doc_id").alias("vec_id"), "quality", "toxic")
     kept = old.join(labels, "vec_id", "left").where(F.coalesce("toxic", F.lit(0)) == 0)
     turned = F.when(F.col("quality") == 0, F.reverse("embedding")).otherwise(F.col("embedding"))
-    later = kept.select("vec_id", turned.alias("embedding"))
+    later = materialise(kept.select("vec_id", turned.alias("embedding")), "snapshot")
     changes = old.withColumn("_change_type", F.lit(INSERT))
 
     def sync() -> int:

@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlore.operators.changes import apply_changes, change_feed
+from ledgerlore.operators.changes import apply_changes, change_feed, changed_keys
 from ledgerlore.streaming.index_sync import read_index, sync_index
 from ledgerlore.streaming.keyed_log import compact
 
@@ -95,3 +95,25 @@ def test_a_batch_written_twice_counts_once(spark, tmp_path):
     assert (log.count(), newest(log, "chunk_id").count()) == (1, 1)
 
 
+
+
+def test_nulls_and_array_elements_count(spark):
+    schema = "id int, a string, b array<int>"
+    old = [(1, None, [1]), (2, "x", None), (3, "x", [None, 1]), (4, "x", []), (None, "n", [1]), (6, "s", [1, 2])]
+    new = [(1, None, [1]), (2, "x", []), (3, "x", [1]), (4, "x", None), (None, "m", [1]), (6, "s", [1, 2])]
+    feed = change_feed(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema), "id")
+    assert sorted((str(r.id), r._change_type) for r in feed.collect()) == sorted(
+        (str(k), c) for k in (2, 3, 4, None) for c in ("update_preimage", "update_postimage")
+    )
+
+
+def test_unchanged_content_is_not_shuffled(spark, tmp_path):
+    rows = spark.range(2000).select(F.col("id").cast("int").alias("id"), F.repeat(F.col("id").cast("string"), 50).alias("content"))
+    rows.write.parquet(f"{tmp_path}/old")
+    rows.withColumn("content", F.when(F.col("id") == 7, "new").otherwise(F.col("content"))).write.parquet(f"{tmp_path}/new")
+    old, new = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("old", "new"))
+    assert [tuple(r) for r in changed_keys(old, new, "id").collect()] == [(7, True, True)]
+    feed = change_feed(old, new, "id")
+    assert feed.count() == 2
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
