@@ -1,8 +1,10 @@
 """URL filter: rules on host and path, and gradient-boosted trees on lexical features for the rest.
 
 The rules label URLs; the trees learn from those labels what the rules leave open. Features are length, depth, digit
-share, entropy, parameter counts and the statistics of the host's suffix: how many URLs have it, over the whole table,
-and the share of blocked ones among those that are labelled.
+share, entropy, parameter counts and the statistics of the host's suffix and of the path's first segment: how many URLs
+have it, over the whole table, and the share of blocked ones among those that are labelled. A labelled URL's own host
+does not enter its shares (hosts are dealt to folds, and its fold is left out), and a suffix or segment without labels
+counts as the middle one of the labelled URLs.
 """
 
 from __future__ import annotations
@@ -27,7 +29,11 @@ RULES = [
 ]
 FIT_URLS = 20_000  # labelled URLs that fit the trees, the first by hash
 TREES, DEPTH, RATE, BINS, LEAST = 40, 3, 0.2, 32, 20
-FEATURES = ["length", "host_length", "depth", "digits", "entropy", "parameters", "hyphens", "labels", "suffix_count", "suffix_blocked"]
+FOLDS = 5
+SMOOTH = 20  # labelled URLs that the share of all counts as, in the share of one suffix or segment
+#: Of features that split the labelled URLs alike the first is taken, so shares come before counts.
+STATISTICS = ["suffix_blocked", "segment_blocked", "suffix_count", "segment_count"]
+FEATURES = ["length", "host_length", "depth", "digits", "entropy", "parameters", "hyphens", "labels", *STATISTICS]
 
 
 def host_of(url: Column) -> Column:
@@ -54,6 +60,10 @@ def suffix_of(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
+def segment_of(path: Column) -> Column:
+    return F.regexp_extract(path, r"(?s)^/*([^/]*)", 1)
+
+
 def lexical(url: str | None, host: str, path: str) -> list[float]:
     url = url or ""
     n = len(url)
@@ -133,64 +143,92 @@ class Trees:
 
 
 def _features(batch: pa.RecordBatch) -> np.ndarray:
-    """Columns url, host, path, suffix_count, suffix_blocked to one matrix."""
+    """Columns url, host, path and ``STATISTICS`` to one matrix."""
     own = [lexical(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(3)))]
-    rest = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4)], axis=1)
-    return np.concatenate([np.array(own, float).reshape(-1, 8), rest.astype(float)], axis=1)
-
-
-def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
-    """``(page_id, host, path, rule, verdict, blocked)`` for every row of ``pages`` (page_id, url).
-
-    ``blocked`` is the trees' probability that a URL like it is blocked, for all rows; ``verdict`` is the rule's, else
-    block from 0.5. A null URL and one without ``://`` have an empty host and path and go to the trees like others. If
-    the labelled URLs are of one class, that class is the answer; without labelled URLs the verdict is allow. Repeated
-    rows give repeated results; other columns are not read.
-    """
-    context = pages.sparkSession.sparkContext
-    rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    rows = rows.select("*", rule_of(F.col("host"), F.col("path"), rules).alias("found"), suffix_of(F.col("host")).alias("suffix"))
-    is_block = (F.col("found.verdict") == "block").cast("double")
-    statistics = materialise(
-        rows.groupBy("suffix").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(is_block).alias("blocked"), F.count(is_block).alias("labelled")
-        ),
-        "urls",
-    )
-    total = statistics.agg(F.sum("blocked"), F.sum("labelled")).first()
-    blocked, labelled = float(total[0] or 0), float(total[1] or 0)
-    prior = blocked / labelled if labelled else 0.0
-    statistics = statistics.select(
-        "suffix",
-        "n",
-        F.log1p(F.col("n").cast("double")).alias("suffix_count"),
-        ((F.coalesce("blocked", F.lit(0.0)) + 20 * prior) / (F.col("labelled") + 20)).alias("suffix_blocked"),
-    )
-    # one suffix may have most rows, so it is joined as a heavy key
-    full = materialise(C.join_groups(rows, statistics, "suffix", "n"), "urls")
-
-    wanted = full.where(F.col("found").isNotNull()).select(
-        "url", "host", "path", "suffix_count", "suffix_blocked", (F.col("found.verdict") == "block").alias("y")
+    rest = np.stack([batch.column(3 + i).to_numpy(zero_copy_only=False) for i in range(len(STATISTICS))], axis=1)
+    return np.concatenate([np.array(own, float).reshape(-1, len(FEATURES) - len(STATISTICS)), rest.astype(float)], axis=1)
+
+
+def described(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+    """``(page_id, url, host, path, found, fold, suffix_blocked, ...)`` for every row of ``pages``."""
+    rows = pages.select("page_id", F.col("url").cast("string").alias("url"))
+    rows = rows.select("*", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    rows = rows.select(
+        "*",
+        rule_of(F.col("host"), F.col("path"), rules).alias("found"),
+        F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int").alias("fold"),
+        suffix_of(F.col("host")).alias("suffix"),
+        segment_of(F.col("path")).alias("segment"),
     )
+    is_block = (F.col("found.verdict") == "block").cast("double")
+    prior = rows.agg(F.coalesce(F.avg(is_block), F.lit(0.0))).first()[0]
+    for key in ("suffix", "segment"):
+        counts = [F.count(F.lit(1)).alias("n")]
+        for name, value in (("blocked", F.coalesce(is_block, F.lit(0.0))), ("labelled", is_block.isNotNull().cast("double"))):
+            counts += [F.sum(value).alias(name), F.array(*[F.sum(F.when(F.col("fold") == i, value).otherwise(0.0)) for i in range(FOLDS)]).alias(f"{name}_in")]
+        statistics = materialise(rows.groupBy(key).agg(*counts), "urls")
+        own = F.when(F.col("found").isNotNull(), F.col("fold"))
+
+        def left(name: str, own=own) -> Column:
+            return F.col(name) - F.coalesce(F.get(f"{name}_in", own), F.lit(0.0))
+
+        # one suffix or segment may have most rows, so they are joined as heavy keys
+        joined = C.join_groups(rows, statistics, key, "n")
+        rows = joined.select(
+            *rows.columns,
+            F.log1p(F.col("n").cast("double")).alias(f"{key}_count"),
+            ((left("blocked") + SMOOTH * prior) / (left("labelled") + SMOOTH)).alias(f"{key}_blocked"),
+            (F.col("labelled") > 0).alias(f"{key}_known"),
+        )
+    rows = materialise(rows, "urls")
+    # What no rule labels is like the middle one of the labelled URLs: its count must not say which class it is in.
+    usual = rows.where(F.col("found").isNotNull()).agg(*[F.percentile_approx(c, 0.5).alias(c) for c in STATISTICS]).first()
+    columns = {c: F.when(F.col(f"{c.split('_')[0]}_known"), F.col(c)).otherwise(F.coalesce(F.lit(usual[c]), F.col(c))) for c in STATISTICS}
+    return rows.withColumns(columns).drop("suffix", "segment", "suffix_known", "segment_known")
+
+
+def fit(rows: DataFrame) -> tuple[Trees | None, float]:
+    """Trees learnt from the labelled ones among ``rows``, and the answer without trees, where they have one class only."""
+    wanted = rows.where(F.col("found").isNotNull()).select("url", "host", "path", *STATISTICS, (F.col("found.verdict") == "block").alias("y"))
     sample = wanted.orderBy(F.xxhash64("url"), "url").limit(FIT_URLS).toArrow().combine_chunks()
     y = sample["y"].to_numpy().astype(float)
-    model = None
-    if len(np.unique(y)) == 2:
-        model = Trees(_features(sample.to_batches()[0]), y)
-    constant = float(y[0]) if len(y) else 0.0
-    shipped = context.broadcast((model, constant))
+    model = Trees(_features(sample.to_batches()[0]), y) if len(np.unique(y)) == 2 else None
+    return model, float(y[0]) if len(y) else 0.0
+
+
+def scored(rows: DataFrame, model: tuple[Trees | None, float]) -> DataFrame:
+    """``(page_id, host, path, found, blocked)`` of ``described`` rows."""
+    shipped = rows.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees, same = shipped.value
         for batch in batches:
             x = _features(batch)
             p = trees.probability(x) if trees and len(x) else np.full(len(x), same)
-            columns = [*(batch.column(i) for i in (5, 1, 2, 6)), pa.array(p, pa.float64())]
+            columns = [*(batch.column(i) for i in (3 + len(STATISTICS), 1, 2, 4 + len(STATISTICS))), pa.array(p, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "host", "path", "found", "blocked"])
 
-    shaped = full.select("url", "host", "path", "suffix_count", "suffix_blocked", "page_id", "found")
-    schema = shaped.select("page_id", "host", "path", "found", F.lit(0.0).alias("blocked")).schema
-    return shaped.mapInArrow(judge, schema).select(
+    shaped = rows.select("url", "host", "path", *STATISTICS, "page_id", "found")
+    return shaped.mapInArrow(judge, shaped.select("page_id", "host", "path", "found", F.lit(0.0).alias("blocked")).schema)
+
+
+def held_out(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+    """``(blocked, label)`` of the labelled URLs of hosts that the trees have not seen: one fold of the hosts."""
+    rows = described(pages, rules)
+    found = scored(rows.where("fold = 0 AND found IS NOT NULL"), fit(rows.where("fold > 0")))
+    return found.select("blocked", (F.col("found.verdict") == "block").alias("label"))
+
+
+def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+    """``(page_id, host, path, rule, verdict, blocked)`` for every row of ``pages`` (page_id, url).
+
+    ``blocked`` is the trees' probability that a URL like it is blocked, for all rows; ``verdict`` is the rule's, else
+    block from 0.5. A null URL and one without ``://`` have an empty host and path and go to the trees like others. If
+    the labelled URLs are of one class, that class is the answer; without labelled URLs the verdict is allow. Repeated
+    rows give repeated results; other columns are not read.
+    """
+    rows = described(pages, rules)
+    return scored(rows, fit(rows)).select(
         "page_id",
         "host",
         "path",

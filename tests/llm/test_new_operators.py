@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlore.llm import alignment, embedding_dedup, importance, queries
+from ledgerlore.llm import alignment, embedding_dedup, importance, queries, url_filter
 from ledgerlore.llm import common as C
 from tests.llm.test_operators import ODD, SCHEMA
 
@@ -204,3 +204,17 @@ def test_recall_is_measured_against_all_rows(spark):
 def test_every_embedding_is_indexed(spark):
     rows = queries.QUERIES["op12_embedding_dedup"](spark, FOLDER)
     assert rows.count() == C.table(spark, FOLDER, "embeddings").count()
+
+
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_urls_of_hosts_not_seen(spark, size):
+    pages = C.table(spark, f"/root/testdata/{size}", "pages")
+    rows = url_filter.held_out(pages).toPandas().sort_values("blocked")
+    rank = rows["blocked"].rank().to_numpy()
+    good = rows["label"].to_numpy()
+    auc = (rank[good].sum() - good.sum() * (good.sum() + 1) / 2) / (good.sum() * (~good).sum())
+    accuracy = ((rows["blocked"] >= 0.5) == rows["label"]).mean()
+    print(size, len(rows), "auc", round(auc, 4), "accuracy", round(accuracy, 4), "majority", round(max(good.mean(), 1 - good.mean()), 4))
+    assert auc >= 0.9 and accuracy > max(good.mean(), 1 - good.mean())
+    verdicts = Counter(r.verdict for r in url_filter.judged(pages).where("rule IS NULL").collect())
+    assert verdicts["allow"] and verdicts["block"]  # what no rule covers is told apart as well
