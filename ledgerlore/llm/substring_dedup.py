@@ -271,8 +271,8 @@ def repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = colliding_ids(rows)
     near = materialise(members.select("id").distinct(), "paragraphs")
     # Paragraphs that collide may occur once, and then are not among the repeated ones.
-    colliding = occurrences(rows, near).join(near, "id", "left_semi")
-    colliding = materialise(colliding.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "paragraphs")
+    colliding = occurrences(rows, near).groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    colliding = materialise(colliding.join(near, "id", "left_semi"), "paragraphs")
     sets = materialise(sets_of(docs, materialise(colliding.select("id", F.col("first.key").alias("key")), "paragraphs")), "paragraphs")
     found = materialise(resolve(members, sets, percent, "paragraphs", few=64), "paragraphs")
 
