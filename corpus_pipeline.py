@@ -15,7 +15,11 @@ from ledgerlore.session import materialise
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the classifier does not reject."""
+    """Documents that the classifier does not reject.
+
+    Null and empty texts get a score like others; repeated rows get the same score, so all stay or all go. An empty
+    table stays empty.
+    """
     scored = quality.scored(docs, quality.fit(docs.select("doc_id", "text"), table(spark, folder, "labels")))
     return scored.where(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
 
@@ -31,15 +35,23 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -
 
 
 def drop_repeated_paragraphs(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents without the passages that stay in a document with a smaller id; one with no words left goes.
+
+    Null and empty texts stay. What stays, stays in all rows of its id; a null id comes first.
+    """
     return substring_dedup.without_repeats(docs)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents without benchmark passages; one of which most is hit goes.
+
+    Null and wordless texts stay; repeated rows are cut alike; items without an id or without words hit nothing.
+    """
     return decontamination.decontaminated(docs, table(spark, folder, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """``(doc_id, n_pieces, n_byte_pieces, pieces, decoded_equal)`` of what is left."""
+    """``(doc_id, n_pieces, n_byte_pieces, pieces, decoded_equal)`` of what is left; null texts have null lists."""
     return pieces.encoded(docs)
 
 
