@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -211,8 +213,16 @@ def few_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[label])], names=["id", "component"])
 
 
+def released() -> None:
+    """Give memory back that tasks before this one have freed: a worker lives on, and its allocators keep what they had."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``size`` rows, to bound what a task holds beside them."""
+    released()
     for batch in batches:
         for start in range(0, batch.num_rows, size):
             yield batch.slice(start, size)
@@ -220,6 +230,7 @@ def arrow_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
 
 def byte_slices(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
     """Batches whose texts (``column``, a string column) have at most ``size`` bytes in all, or one row."""
+    released()
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends, start = np.cumsum(lengths.astype(np.int64)), 0

@@ -82,9 +82,11 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
             for step in (1, 2):
                 same = owner[step:] == owner[:-step]
                 np.add.at(pairs, flat[:-step][same] * BUCKETS + flat[step:][same], 1)
-        near = pairs.reshape(BUCKETS, BUCKETS).astype(np.float32)
-        index = index_vectors()
-        sums = near @ index + near.T @ index
+        index, sums = index_vectors(), np.zeros((BUCKETS, DIM), np.float32)
+        for start in range(0, BUCKETS, 256):  # some rows at a time: the whole as floats would double the counts
+            near = pairs[start * BUCKETS : (start + 256) * BUCKETS].reshape(-1, BUCKETS).astype(np.float32)
+            sums[start : start + 256] += near @ index
+            sums += near.T @ index[start : start + 256]
         used = np.flatnonzero(np.abs(sums).sum(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used), C.lists([sums[i].astype(np.float64) for i in used], pa.float64())], names=["bucket", "v"]
