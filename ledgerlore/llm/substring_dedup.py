@@ -395,8 +395,8 @@ def paragraph_repeats(docs: DataFrame, least: int = MIN_WORDS, percent: int = PE
 
     Untouched texts stay byte for byte; null stays null, and a text all of which goes becomes empty. Rows that share an
     id count as one document: what stays, stays in all of them, and repeats inside one document are left alone. A null
-    id sorts first, so what it holds stays. ``kept_in`` lists the documents where the like of removed paragraphs stays.
-    Other columns are not read.
+    id sorts first, so what it holds stays. ``kept_in`` lists the documents whose paragraphs the removed ones
+    were matched with. Other columns are not read.
     """
     lost = repeats(docs, percent)
     rows = keyed(docs)
