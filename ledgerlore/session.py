@@ -49,12 +49,12 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
+def materialise(df: DataFrame, purpose: str, file_rows: int = 0) -> DataFrame:
     """Write a result that is used more than once to the shared folder and go on from there.
 
     The rows survive the loss of the executors that computed them, and later readers take only the columns
-    they need.
+    they need. ``file_rows`` bounds the rows of a file, so that readers can share a partition's rows among tasks.
     """
     path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

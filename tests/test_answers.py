@@ -50,6 +50,22 @@ def test_text_search_equals_brute_force(spark, monkeypatch, block):
     assert postings.search_text_index(index, spark.createDataFrame([], "qid long, content string"), 3).count() == 0
 
 
+def test_vectors_are_not_copied_per_block_or_batch(spark, monkeypatch):
+    monkeypatch.setattr(postings, "BLOCK_ROWS", 16)
+    rng = random.Random(6)
+    texts = [(f"t{i:03}", " ".join(rng.choices(WORDS, k=rng.randint(1, 30)))) for i in range(150)]
+    queries = [(i, f"w1 w2 w3 u{i}") for i in range(60)] + [(100 + i, " ".join(rng.choices(WORDS, k=5))) for i in range(20)]
+    index = postings.build_text_index(spark.createDataFrame(texts, "chunk_id string, content string"))
+    asked = spark.createDataFrame(queries, "qid long, content string")
+    got = postings.search_text_index(index, asked, 3)
+    plan = got._jdf.queryExecution().toString()
+    assert "sequence(" not in plan and "CoGroup" not in plan  # both sides met in a shuffle of copies
+    want = {(q, r, i) for q, r, i, _ in brute_search(texts, queries, 3)}
+    assert {(r.qid, r.rank, r.id) for r in got.collect()} == want
+    monkeypatch.setattr(postings, "PASS_TERMS", 20)
+    assert {(r.qid, r.rank, r.id) for r in postings.search_text_index(index, asked, 3).collect()} == want
+
+
 def test_join_of_hot_and_rare_keys(spark):
     rows = spark.range(5000).select(F.col("id"), F.when(F.col("id") < 3000, 1).otherwise(F.col("id")).alias("k"))
     keys = spark.createDataFrame([(1, 3000, "hot"), (4000, 1, "rare"), (9999, 1, "none")], "k long, n long, v string")
