@@ -44,8 +44,13 @@ def asked_of_tables(questions: DataFrame, names: DataFrame) -> DataFrame:
     """``(qid, kind, entity_id)`` of the questions whose words, or whose words and those of the turn before, say enough."""
     tables = questions.where(uses_tables(F.col("source_used"))).select("qid", "question", "search_text")
     alone = entities.mentions(tables, names).withColumnRenamed("mentions", "own")
-    before = entities.mentions(tables, names, text="search_text")
-    joined = tables.join(before, "qid").join(alone, "qid", "left")
+    # Where the turn before adds no words, its mentions are the question's own and are not looked for again.
+    differ = tables.where(~F.col("search_text").eqNullSafe(F.col("question"))).select("qid").distinct()
+    differ = materialise(differ.withColumn("again", F.lit(True)), "followed-up")
+    before = entities.mentions(tables.join(differ, "qid", "left_semi"), names, text="search_text").withColumnRenamed("mentions", "before")
+    mentions = F.when(F.col("again"), F.col("before")).otherwise(F.col("own")).alias("mentions")
+    joined = tables.join(differ, "qid", "left").join(alone, "qid", "left").join(before, "qid", "left")
+    joined = joined.select(*tables.columns, "own", mentions).where(F.col("mentions").isNotNull())
     asked = F.coalesce(
         entities.asked_for(F.col("question"), F.col("own")),
         entities.asked_for(F.col("search_text"), F.col("own")),

@@ -138,3 +138,15 @@ def test_predict(spark, tables):
     assert '"n":"2","amount":null' in rows[7].answer and '"n":"1","amount":"9.00"' in rows[8].answer
     assert '"kind":"premiums_paid","entity_id":"12","n":"0","amount":null' in rows[9].answer
     assert run(questions.limit(0)).count() == 0
+
+
+def test_only_follow_ups_are_searched_for_names_twice(spark, tables, monkeypatch):
+    customers, _, policies = tables
+    looked = []
+    plain = entities.mentions
+    monkeypatch.setattr(entities, "mentions", lambda rows, *a, **k: looked.append(rows.count()) or plain(rows, *a, **k))
+    rows = [("a", "premium paid by C1?", "SQL", "premium paid by C1?"), ("b", "and the details?", "SQL", "premium paid by C1? and the details?")]
+    asked = spark.createDataFrame(rows, "qid string, question string, source_used string, search_text string")
+    found = predict.asked_of_tables(asked, entities.name_table(customers, policies)).collect()
+    assert sorted(tuple(r) for r in found) == [("a", "premiums_paid", "1"), ("b", "premiums_paid", "1")]
+    assert looked == [2, 1]
