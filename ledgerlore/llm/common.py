@@ -122,7 +122,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, weight: str, how:
     return many.unionByName(few).select(*rows.columns, *[F.col("__light")[c].alias(c) for c in values])
 
 
-def id_filter(bits: DataFrame) -> np.ndarray:
+def id_filter(bits: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
     """A bitmap of a fixed size (1 MB) over the one column ``bit``: a first sieve that lets every wanted id pass."""
     words = (
         bits.select(F.col("bit").cast("long").alias("bit"))
@@ -130,14 +130,14 @@ def id_filter(bits: DataFrame) -> np.ndarray:
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
         .toArrow()
     )
-    bitmap = np.zeros(FILTER_BITS >> 6, np.uint64)
+    bitmap = np.zeros(size >> 6, np.uint64)
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return bitmap
 
 
-def filter_bit(column: str) -> Column:
+def filter_bit(column: str, size: int = FILTER_BITS) -> Column:
     """The bit of an id, for ``id_filter`` and ``passes``."""
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int").alias("bit")
+    return F.pmod(F.xxhash64(column), F.lit(size)).cast("int").alias("bit")
 
 
 def passes(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -145,17 +145,17 @@ def passes(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return ((word >> (bits & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
 
 
-def sieve(rows: DataFrame, wanted: DataFrame, key: str, likely: bool = True) -> DataFrame:
-    """The rows whose ``key`` is likely to be among those of ``wanted``, by a bitmap of a fixed size; with ``likely``
+def sieve(rows: DataFrame, wanted: DataFrame, key: str, likely: bool = True, size: int = FILTER_BITS) -> DataFrame:
+    """The rows whose ``key`` is likely to be among those of ``wanted``, by a bitmap of ``size`` bits; with ``likely``
     false the others. Every row whose key is wanted is likely; rows travel no further than through the task."""
-    bitmap = rows.sparkSession.sparkContext.broadcast(id_filter(wanted.select(filter_bit(key))))
+    bitmap = rows.sparkSession.sparkContext.broadcast(id_filter(wanted.select(filter_bit(key, size)), size))
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = passes(bitmap.value, batch.column(batch.num_columns - 1).to_numpy()) == likely
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep))
 
-    return rows.select("*", filter_bit(key).alias("__bit")).mapInArrow(sift, rows.schema)
+    return rows.select("*", filter_bit(key, size).alias("__bit")).mapInArrow(sift, rows.schema)
 
 
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:

@@ -27,6 +27,7 @@ from ledgerlore.session import materialise
 
 UNIT = 1024  # sets that one task compares at once
 SKETCH = 1 << 22  # counters of the sketch, one byte each where they travel (4 MB)
+TOKEN_BITS = 1 << 25  # of the sieve of shared tokens (4 MB): many times as many tokens as ids are wanted
 SLICE = 1 << 21  # bytes of text that a task takes apart at once
 
 
@@ -125,7 +126,7 @@ def candidates(tokens: DataFrame, percent: int, purpose: str) -> DataFrame:
     and fall to a bitmap before they travel again.
     """
     shared = shared_among(tokens, purpose)
-    rows = C.join_groups(C.sieve(tokens, shared, "token"), shared.select("token", "m"), "token", "m")
+    rows = C.join_groups(C.sieve(tokens, shared, "token", size=TOKEN_BITS), shared.select("token", "m"), "token", "m")
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent + 1e-6))
     banded = rows.select("id", F.explode(F.array(band, band + 1)).alias("band"), "token")
     banded = materialise(banded.select(F.xxhash64("token", "band").alias("key"), "id").distinct(), purpose)

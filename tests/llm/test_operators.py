@@ -403,3 +403,9 @@ def test_pipeline(spark):
         assert out.columns == docs.columns and out.schema["text"] == docs.schema["text"], name
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     assert 0 < len(rows) < docs.count() and all(r.decoded_equal for r in rows)
+
+
+def test_a_larger_sieve_lets_fewer_others_pass(spark):
+    rows, wanted = spark.range(4000).withColumnRenamed("id", "token"), spark.range(0, 4000, 8).withColumnRenamed("id", "token")
+    small, large = ({r.token for r in C.sieve(rows, wanted, "token", size=size).collect()} for size in (1 << 10, 1 << 20))
+    assert set(range(0, 4000, 8)) <= large <= set(range(4000)) and len(large) < 510 < len(small)
