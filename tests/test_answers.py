@@ -150,3 +150,13 @@ def test_only_follow_ups_are_searched_for_names_twice(spark, tables, monkeypatch
     found = predict.asked_of_tables(asked, entities.name_table(customers, policies)).collect()
     assert sorted(tuple(r) for r in found) == [("a", "premiums_paid", "1"), ("b", "premiums_paid", "1")]
     assert looked == [2, 1]
+
+
+def test_questions_that_differ_in_unknown_words_are_searched_once(spark, monkeypatch):
+    index = postings.build_text_index(spark.createDataFrame([("t1", "a claim is covered"), ("t2", "a premium is paid")], "chunk_id string, content string"))
+    sent = []
+    plain = postings._queries
+    monkeypatch.setattr(postings, "_queries", lambda rows: sent.append(rows.num_rows) or plain(rows))
+    asked = spark.createDataFrame([(i, f"is the claim of customer c{i} covered?") for i in range(40)], "qid long, content string")
+    found = postings.search_text_index(index, asked, 1).collect()
+    assert {(r.qid, r.id) for r in found} == {(i, "t1") for i in range(40)} and sent == [1]
