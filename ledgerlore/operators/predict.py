@@ -16,7 +16,7 @@ from ledgerlore.operators import entities
 from ledgerlore.operators.answering import answer_batch, excerpt_context, structured_context
 from ledgerlore.operators.joins import join_shared
 from ledgerlore.operators.postings import TextIndex, search_text_index, terms_of
-from ledgerlore.operators.similarity import with_columns
+from ledgerlore.operators.similarity import hit_members, with_columns
 from ledgerlore.session import materialise
 from ledgerlore.sources.questions import question_batch
 
@@ -86,8 +86,8 @@ def predict(
     structured = structured_context(rows.select("qid", *ANSWER_COLUMNS), ["kind"], ANSWER_COLUMNS)
 
     documents = batch.where(uses_documents(F.col("source_used")))
-    hits = search_text_index(index, documents.select("qid", "search_text"), k, text="search_text")
-    shown = with_columns(hits, chunks, ["policy_name", "page_number", "content"])
+    hits = materialise(search_text_index(index, documents.select("qid", "search_text"), k, text="search_text"), "hits")
+    shown = with_columns(hits, hit_members(hits, chunks), ["policy_name", "page_number", "content"])
     excerpts = excerpt_context(shown)
 
     statement = F.format_string("SELECT n, amount FROM answers WHERE kind = '%s' AND entity_id = '%s'", "kind", "entity_id")

@@ -215,7 +215,7 @@ _ANSWER_SQL = f"""
 @query("answer_questions", _ANSWER_SQL)
 def answer_questions(spark: SparkSession, folder: str) -> DataFrame:
     """All user messages and one question of every customer, each with its history as JSON, to typed responses."""
-    chunks = materialise(document_chunks(spark, folder).select("chunk_id", "policy_name", "page_number", "content"), "chunks")
+    chunks = materialise(document_chunks(spark, folder).select("chunk_id", "policy_name", "page_number", "content"), "chunks", dense=True)
     responses = predict(
         customer_questions(spark, folder).unionByName(message_questions(spark, folder)),
         build_text_index(chunks),

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+DENSE = "zstd"  # of written tables whose size counts
 
 
 def build_session(cores: str = "*", name: str = "ledgerlore", **conf: object) -> SparkSession:
@@ -49,12 +50,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str, file_rows: int = 0) -> DataFrame:
+def materialise(df: DataFrame, purpose: str, file_rows: int = 0, dense: bool = False) -> DataFrame:
     """Write a result that is used more than once to the shared folder and go on from there.
 
     The rows survive the loss of the executors that computed them, and later readers take only the columns
     they need. ``file_rows`` bounds the rows of a file, so that readers can share a partition's rows among tasks.
+    ``dense`` spends some time to make tables of texts or terms smaller.
     """
     path = scratch_path(df.sparkSession, purpose)
-    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
+    writer = df.write.option("maxRecordsPerFile", file_rows)
+    (writer.option("compression", DENSE) if dense else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,4 +1,5 @@
 import math
+import pickle
 import random
 import re
 from collections import Counter
@@ -6,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlore.operators import entities, postings, predict
+from ledgerlore.operators import entities, postings, predict, similarity
 from ledgerlore.operators.joins import join_shared
 
 WORDS = [f"w{i}" for i in range(60)]
@@ -160,3 +161,26 @@ def test_questions_that_differ_in_unknown_words_are_searched_once(spark, monkeyp
     asked = spark.createDataFrame([(i, f"is the claim of customer c{i} covered?") for i in range(40)], "qid long, content string")
     found = postings.search_text_index(index, asked, 1).collect()
     assert {(r.qid, r.id) for r in found} == {(i, "t1") for i in range(40)} and sent == [1]
+
+
+def test_vectors_are_counts_and_what_travels_names_no_class(spark, monkeypatch):
+    texts = spark.createDataFrame([("a", "x x y"), ("b", "x z"), ("c", "q"), ("d", None)], "chunk_id string, content string")
+    monkeypatch.setattr(postings, "FREQUENT", 2)
+    index = postings.build_text_index(texts)
+    idf = {r.number: r.idf for r in index.terms.collect()}
+    rows = index.vectors.collect()
+    assert sorted(r.id for r in rows) == ["a", "b", "c"] and sorted(rows[0].counts + rows[1].counts + rows[2].counts) == [1, 1, 1, 1, 2]
+    for r in rows:
+        assert abs(math.sqrt(sum((n * idf[t]) ** 2 for t, n in zip(r.terms, r.counts))) - r.length) < 1e-12
+    sent, plain = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or plain(self, value))
+    hits = postings.search_text_index(index, spark.createDataFrame([(1, "y"), (2, "nothing")], "qid int, content string"), 2)
+    assert [(r.qid, r.id) for r in hits.collect()] == [(1, "a")]
+    assert sent and b"ledgerlore" not in pickle.dumps(sent)
+
+
+def test_only_hit_members_are_joined(spark):
+    hits = spark.createDataFrame([(1, "a"), (2, "a"), (2, "c")], "qid int, id string")
+    members = spark.createDataFrame([("a",), ("b",), ("c",)], "chunk_id string")
+    assert sorted(r.chunk_id for r in similarity.hit_members(hits, members).collect()) == ["a", "c"]
+    assert similarity.hit_members(hits, members, limit=1).count() == 3
