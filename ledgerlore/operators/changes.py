@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from ledgerlore.session import materialise
 
 BUCKETS = 1 << 16
+MANY_CHANGES = 1 << 18  # keys; fewer are left to adaptive execution, which lets a few megabytes travel
+FEW_OTHERS = 1 << 21  # keys that travel to the rows where most keys changed
 INSERT, DELETE = "insert", "delete"
 BEFORE, AFTER = "update_preimage", "update_postimage"
 
@@ -53,22 +55,40 @@ def changed_keys(old: DataFrame, new: DataFrame, key: str, buckets: int = BUCKET
     return materialise(found, "changed-keys")
 
 
-def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+def change_feed(old: DataFrame, new: DataFrame, key: str, images: bool = True) -> DataFrame:
     """Rows of both snapshots that differ, labelled by what happened to their key; a null key is a key like others.
 
     Which keys changed is found from digests; the wide rows are read once more for those keys alone, so the rows that
     did not change are never shuffled while the changed keys are few enough to travel. Both snapshots are read several
     times and should be tables.
+
+    Without ``images`` the old rows stay where they are, which is enough to follow the table: a deletion has its key and
+    nulls, and there are no preimages.
     """
     changed = changed_keys(old, new, key)
+    many = changed.count() > MANY_CHANGES
     here = F.col(key).eqNullSafe(F.col("k"))
 
-    def rows(df: DataFrame, side: str, label: Column) -> DataFrame:
-        wanted = changed.where(side).select("k", label.alias("_change_type"))
+    def rows(df: DataFrame, side: str, other: str, alone: str, both: str) -> DataFrame:
+        wanted = changed.where(side).select("k", F.when(F.col(other), both).otherwise(alone).alias("_change_type"))
+        if many:
+            # Where most keys are on this side alone, the others are the few that travel.
+            kept = df.select(F.col(key).alias("__key")).join(wanted, F.col("__key").eqNullSafe(F.col("k")), "left_anti")
+            others = wanted.where(F.col("_change_type") == both).unionByName(
+                kept.select(F.col("__key").alias("k"), F.lit(None).cast("string").alias("_change_type"))
+            )
+            others = materialise(others.distinct().withColumn("__other", F.lit(True)), "other-keys")
+            if others.count() <= FEW_OTHERS:
+                met = df.select(*new.columns).join(F.broadcast(others), here, "left")
+                met = met.where(F.col("__other").isNull() | F.col("_change_type").isNotNull())
+                return met.select(*new.columns, F.coalesce("_change_type", F.lit(alone)).alias("_change_type"))
         return df.select(*new.columns).join(wanted, here).select(*new.columns, "_change_type")
 
-    before = rows(old, "in_old", F.when(F.col("in_new"), BEFORE).otherwise(DELETE))
-    return before.unionByName(rows(new, "in_new", F.when(F.col("in_old"), AFTER).otherwise(INSERT)))
+    after = rows(new, "in_new", "in_old", INSERT, AFTER)
+    if not images:
+        gone = changed.where(~F.col("in_new")).select(F.col("k").alias(key), F.lit(DELETE).alias("_change_type"))
+        return after.unionByName(gone, allowMissingColumns=True)
+    return rows(old, "in_old", "in_new", DELETE, BEFORE).unionByName(after)
 
 
 def latest_change(feed: DataFrame, key: str, version: str | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from ledgerlore.plans import inputs as I
 from ledgerlore.plans.corpus import CHUNKS_SQL, chunk_sql, document_chunks
 from ledgerlore.plans.registry import query
 from ledgerlore.schemas import CHUNKS
-from ledgerlore.session import materialise, scratch_path
+from ledgerlore.session import DENSE, materialise, scratch_path
 from ledgerlore.sources.tables import scan
 from ledgerlore.streaming.cell_index import search_cells, sync_cells
 from ledgerlore.streaming.index_sync import read_index, sync_index
@@ -82,23 +82,27 @@ def index_sync(spark: SparkSession, folder: str) -> DataFrame:
     """First run takes the whole chunk table, an idle run nothing, the next run the changes alone."""
     base = scratch_path(spark, "index")
     source, index, checkpoint = f"{base}/changes", f"{base}/index", f"{base}/checkpoint"
-    old = materialise(document_chunks(spark, folder), "snapshot")
-    model = fit_text_embedding(old.select("content"), dim=EMBEDDING_DIM)
     schema = T.StructType([*CHUNKS.fields, T.StructField("_change_type", T.StringType())])
 
+    def arrive(changes: DataFrame) -> None:
+        changes.write.mode("append").option("compression", DENSE).parquet(source)
+
     def sync() -> int:
         return sync_index(spark, source, schema, index, checkpoint, embed=lambda rows: embed_text(model, rows, "content"))
 
-    old.withColumn("_change_type", F.lit(INSERT)).write.mode("append").parquet(source)
+    arrive(document_chunks(spark, folder).withColumn("_change_type", F.lit(INSERT)))
+    # The files that are there now are the first snapshot, so it is written once.
+    old = spark.read.schema(schema).parquet(source).drop("_change_type")
+    model = fit_text_embedding(old.select("content"), dim=EMBEDDING_DIM)
     sync()
     if sync():
         raise RuntimeError("an idle run must do nothing")
-    later = materialise(later_chunks(spark, folder), "snapshot")
-    change_feed(old, later, "chunk_id").write.mode("append").parquet(source)
+    later = materialise(later_chunks(spark, folder), "snapshot", dense=True)
+    arrive(change_feed(old, later, "chunk_id", images=False))
     sync()
-    return read_index(spark, index).select(
-        "chunk_id", "policy_name", "char_count", F.md5("content").alias("digest"), F.size("embedding").alias("dims")
-    )
+    shown = [F.unhex(F.md5("content")).alias("digest"), F.size("embedding").alias("dims")]
+    rows = read_index(spark, index, columns=[F.col("policy_name"), F.col("char_count"), *shown])
+    return rows.withColumn("digest", F.lower(F.hex("digest")))
 
 
 # The later state of the vectors: those of toxic documents are gone, those of low quality are read backwards.

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlore.operators.changes import DELETE, latest_change, single_changes
-from ledgerlore.streaming.keyed_log import newest, read_log, write_batch
+from ledgerlore.streaming.keyed_log import BATCH, newest, read_log, write_batch
 
 
 def sync_index(
@@ -36,7 +36,9 @@ def sync_index(
         if version is None:
             single_changes(decided, key).write.format("noop").mode("overwrite").save()  # reads the keys alone
         deleted = F.col("_change_type") == DELETE
-        rows = decided.withColumn("deleted", deleted).drop("_change_type", *([version] if version else []))
+        kept = [c for c in decided.columns if c not in ("_change_type", key, version)]
+        # A deletion is its key: nothing else of it is embedded or written.
+        rows = decided.select(key, *[F.when(~deleted, F.col(c)).alias(c) for c in kept], deleted.alias("deleted"))
         write_batch(embed(rows) if embed else rows, index, batch_id)
         ran.append(batch_id)
 
@@ -52,6 +54,10 @@ def sync_index(
     return len(ran)
 
 
-def read_index(spark: SparkSession, index: str, *, key: str = "chunk_id") -> DataFrame:
-    """The index as it stands after the last sync."""
-    return newest(read_log(spark, index), key)
+def read_index(spark: SparkSession, index: str, *, key: str = "chunk_id", columns: list[Column] | None = None) -> DataFrame:
+    """The index as it stands after the last sync: all columns, or the key and those that ``columns`` make of a row.
+
+    The latter are taken before the versions of a key meet, so what they do not need of a row is not shuffled.
+    """
+    rows = read_log(spark, index)
+    return newest(rows if columns is None else rows.select(key, *columns, BATCH, "deleted"), key)

@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlore.session import DENSE
+
 BATCH = "batch"
 
 
 def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
+    rows.write.mode("overwrite").option("compression", DENSE).parquet(f"{folder}/{BATCH}={batch_id}")
 
 
 def newest(rows: DataFrame, key: str) -> DataFrame:

@@ -4,6 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlore.operators import changes
 from ledgerlore.operators.changes import apply_changes, change_feed, changed_keys
 from ledgerlore.streaming.index_sync import read_index, sync_index
 from ledgerlore.streaming.keyed_log import compact
@@ -117,3 +118,43 @@ def test_unchanged_content_is_not_shuffled(spark, tmp_path):
     assert feed.count() == 2
     plan = feed._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_feed_is_the_same_when_most_keys_change(spark, monkeypatch):
+    schema = "id int, a string, b int"
+    old = [(i, f"o{i}", i) for i in range(40)] + [(None, "n", 0)]
+    new = [(i, f"o{i}" if i < 33 else "v", i) for i in range(30, 37)] + [(100 + i, "m", i) for i in range(40)] + [(None, "n", 0)]
+    old, new = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    plain = sorted(map(str, change_feed(old, new, "id").collect()))
+    monkeypatch.setattr(changes, "MANY_CHANGES", 0)
+    feed = change_feed(old, new, "id")
+    assert sorted(map(str, feed.collect())) == plain
+    monkeypatch.setattr(changes, "FEW_OTHERS", 0)
+    assert sorted(map(str, change_feed(old, new, "id").collect())) == plain
+    assert feed.where("_change_type = 'delete'").where("a is not null").count() == 33
+    short = change_feed(old, new, "id", images=False)
+    assert sorted(map(str, short.where("_change_type in ('insert', 'update_postimage')").collect())) == [
+        r for r in plain if "insert" in r or "postimage" in r
+    ]
+    assert {(r.id, r.a, r.b, r._change_type) for r in short.collect() if r._change_type in ("delete", "update_preimage")} == {
+        (i, None, None, "delete") for i in [*range(30), 37, 38, 39]
+    }
+
+
+def test_deletions_are_keys_and_a_narrow_reading_shuffles_no_vectors(spark, tmp_path):
+    source, index, checkpoint = (str(tmp_path / n) for n in ("in", "index", "cp"))
+    schema = T.StructType.fromDDL("chunk_id string, content string, _change_type string")
+
+    def step(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        embed = lambda df: df.withColumn("embedding", F.array(F.length("content").cast("float")))
+        sync_index(spark, source, schema, index, checkpoint, embed=embed)
+
+    step(("a", "one", "insert"), ("b", "two", "insert"), ("c", "three", "insert"))
+    step(("a", "one", "delete"), ("b", "twice", "update_postimage"))
+    assert [r.content for r in spark.read.parquet(index).where("deleted").collect()] == [None]
+    narrow = read_index(spark, index, columns=[F.md5("content").alias("digest"), F.size("embedding").alias("dims")])
+    assert narrow.columns == ["chunk_id", "digest", "dims"]
+    assert {(r.chunk_id, r.dims) for r in narrow.collect()} == {("b", 1), ("c", 1)}
+    wide = read_index(spark, index).select("chunk_id", F.md5("content").alias("digest"))
+    assert sorted(wide.collect()) == sorted(narrow.select("chunk_id", "digest").collect())
