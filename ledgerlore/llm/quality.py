@@ -59,12 +59,16 @@ def terms_of(text: bytes, terms: Terms) -> np.ndarray:
     return np.concatenate([out, np.full(again, _REPEATED), np.full(twice, _TWICE)]) if again or twice else out
 
 
-def index_vectors() -> np.ndarray:
-    """Sparse random vectors with entries of plus and minus one, from a fixed seed."""
+def index_entries() -> list[tuple[np.ndarray, np.ndarray]]:
+    """The sparse random vectors from a fixed seed: ``NONZERO`` times the place and the sign of an entry of every bucket."""
     rng = np.random.default_rng(11)
+    return [(rng.integers(0, DIM, BUCKETS), rng.choice([-1.0, 1.0], BUCKETS)) for _ in range(NONZERO)]
+
+
+def index_vectors() -> np.ndarray:
     table = np.zeros((BUCKETS, DIM), np.float32)
-    for _ in range(NONZERO):
-        table[np.arange(BUCKETS), rng.integers(0, DIM, BUCKETS)] += rng.choice([-1.0, 1.0], BUCKETS)
+    for place, sign in index_entries():
+        table[np.arange(BUCKETS), place] += sign
     return table
 
 
@@ -73,23 +77,22 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
-        pairs = np.zeros(BUCKETS * BUCKETS, np.int32)
+        entries, sums = index_entries(), np.zeros(BUCKETS * DIM)  # whole numbers, no table of pairs
         for batch in C.arrow_rows(batches, 500):
             at = [terms_of(t, terms) for t in C.byte_texts(batch.column(0))]
             if not at:
                 continue
-            flat, owner = np.concatenate(at), np.repeat(np.arange(len(at)), [len(a) for a in at])
+            flat, owner = np.concatenate(at), np.repeat(np.arange(len(at), dtype=np.int32), [len(a) for a in at])
             for step in (1, 2):
                 same = owner[step:] == owner[:-step]
-                np.add.at(pairs, flat[:-step][same] * BUCKETS + flat[step:][same], 1)
-        index, sums = index_vectors(), np.zeros((BUCKETS, DIM), np.float32)
-        for start in range(0, BUCKETS, 256):  # some rows at a time: the whole as floats would double the counts
-            near = pairs[start * BUCKETS : (start + 256) * BUCKETS].reshape(-1, BUCKETS).astype(np.float32)
-            sums[start : start + 256] += near @ index
-            sums += near.T @ index[start : start + 256]
+                left, right = flat[:-step][same], flat[step:][same]
+                for term, near in ((left, right), (right, left)):
+                    for place, sign in entries:
+                        sums += np.bincount(term * DIM + place[near], weights=sign[near], minlength=BUCKETS * DIM)
+        sums = sums.reshape(BUCKETS, DIM)
         used = np.flatnonzero(np.abs(sums).sum(axis=1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used), C.lists([sums[i].astype(np.float64) for i in used], pa.float64())], names=["bucket", "v"]
+            [pa.array(used), C.lists(list(sums[used]), pa.float64())], names=["bucket", "v"]
         )
 
     parts = docs.select("text").mapInArrow(gather, "bucket long, v array<double>")
