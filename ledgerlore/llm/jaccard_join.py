@@ -139,7 +139,8 @@ def sieved(members: DataFrame, bits: DataFrame, percent: int, purpose: str, unit
     """The rows of ``members`` (hub, id) whose bitmap (``bits``: id, n, bits) allows a link within the unit.
 
     Bitmaps take a sixteenth of the sets' room, so sets travel only for what is left. A unit above ``unit`` sets keeps
-    all, as its members are not looked at together.
+    all, as its members are not looked at together. Of the units that keep the same members only the first stays: near
+    copies share many tokens, and each may bring them together under another hub.
     """
     sizes = materialise(members.groupBy("hub").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), purpose)
     sized = materialise(C.join_groups(members, sizes, "hub", "m"), purpose)
@@ -147,9 +148,13 @@ def sieved(members: DataFrame, bits: DataFrame, percent: int, purpose: str, unit
 
     def sieve(group: pa.Table) -> pa.Table:
         keep = promising(group["n"].to_numpy(), group["bits"].to_pylist(), percent)
-        return group.select(["hub", "id"]).filter(pa.array(keep))
+        left = group.select(["hub", "id"]).filter(pa.array(keep))
+        mark = C.fold(np.unique(left["id"].to_numpy()))
+        return left.append_column("members", pa.array([mark] * left.num_rows, pa.int64()))
 
-    kept = rows.groupBy("hub").applyInArrow(sieve, "hub long, id long")
+    kept = materialise(rows.groupBy("hub").applyInArrow(sieve, "hub long, id long, members long"), purpose)
+    first = kept.groupBy("members").agg(F.min("hub").alias("hub"))
+    kept = kept.join(first, ["members", "hub"], "left_semi").select("hub", "id")
     return materialise(kept.unionByName(sized.where(F.col("m") > unit).select("hub", "id")), purpose)
 
 

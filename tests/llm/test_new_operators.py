@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlore.llm import alignment, embedding_dedup, importance, quality, queries, url_filter
+from ledgerlore.llm import alignment, embedding_dedup, importance, jaccard_join, quality, queries, url_filter
 from ledgerlore.llm import common as C
+from ledgerlore.llm.signature_tree import signature
 from tests.llm.test_operators import ODD, SCHEMA
 
 FOLDER = "/root/testdata/sf0.001"
@@ -220,6 +221,16 @@ def test_urls_of_hosts_not_seen(spark, size):
     assert verdicts["allow"] and verdicts["block"]  # what no rule covers is told apart as well
 
 
+def test_units_with_the_same_members_are_kept_once(spark):
+    rng = np.random.default_rng(4)
+    tokens = {i: np.unique(rng.integers(0, 1 << 60, 80).astype(np.uint64)) for i in (1, 2, 20)}
+    tokens |= {10: tokens[20], 11: tokens[20][1:]}
+    bits = spark.createDataFrame([(i, len(t), signature(t)) for i, t in tokens.items()], "id long, n long, bits binary")
+    members = [(1, 1), (1, 10), (1, 11), (2, 2), (2, 10), (2, 11), (10, 10), (10, 11), (10, 20)]
+    kept = jaccard_join.sieved(spark.createDataFrame(members, "hub long, id long"), bits, 90, "test")
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, 10), (1, 11), (10, 10), (10, 11), (10, 20)]
+
+
 def test_context_vectors_need_no_table_of_pairs(spark, monkeypatch):
     texts = ["a b c a", "b B\nb B\n x", None, "x y z x y"]
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
