@@ -17,7 +17,8 @@ from ledgerlore.session import materialise
 
 CODES_KEPT = 1 << 18  # words a task remembers; a memory bound only, a forgotten word is hashed again
 HEAVY_SHARE = 1000  # a key is heavy above one 1/1000 of all rows, so at most 1,000 keys are
-FILTER_BITS = 1 << 23
+FILTER_BITS, FILTER_MOST = 1 << 23, 1 << 28  # of a bitmap of ids: at least, and at most (32 MB)
+BITS_EACH = 32  # of a bitmap, for each id in it
 FEW_EDGES = 1 << 18  # as many edges are brought to an end in one task
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -122,10 +123,19 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, weight: str, how:
     return many.unionByName(few).select(*rows.columns, *[F.col("__light")[c].alias(c) for c in values])
 
 
-def id_filter(bits: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
-    """A bitmap of a fixed size (1 MB) over the one column ``bit``: a first sieve that lets every wanted id pass."""
+def id_filter(hashes: DataFrame, size: int | None = None, least: int = FILTER_BITS) -> np.ndarray:
+    """A bitmap over the one column of ``hashes`` (64 bits each): a first sieve that lets every wanted one pass.
+
+    Each hash sets two bits. The bitmap grows with the number of hashes (a written table, as they are counted first), so
+    the share of others that pass stays below 1 in 250 and their number in proportion to the input. From ``FILTER_MOST``
+    bits on, which bounds what the driver and the tasks hold, more pass: at worst all, as without a sieve.
+    """
+    (name,) = hashes.columns
+    size = size or max(least, min(FILTER_MOST, 1 << (BITS_EACH * hashes.count() - 1).bit_length()))
+    places = F.array(F.col(name), F.shiftright(name, 32))
     words = (
-        bits.select(F.col("bit").cast("long").alias("bit"))
+        hashes.select(F.explode(places).alias("bit"))
+        .select(F.col("bit").bitwiseAND(size - 1).alias("bit"))
         .groupBy(F.shiftright("bit", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
         .toArrow()
@@ -135,27 +145,32 @@ def id_filter(bits: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
     return bitmap
 
 
-def filter_bit(column: str, size: int = FILTER_BITS) -> Column:
-    """The bit of an id, for ``id_filter`` and ``passes``."""
-    return F.pmod(F.xxhash64(column), F.lit(size)).cast("int").alias("bit")
+def hashed(column: str) -> Column:
+    """The hash of an id, for ``id_filter`` and ``passes``."""
+    return F.xxhash64(column).alias("hash")
 
 
-def passes(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    word = bitmap[bits >> 6]
-    return ((word >> (bits & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+def passes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    last = (len(bitmap) << 6) - 1
+    keep = np.ones(len(hashes), bool)
+    for bits in (hashes & last, (hashes >> 32) & last):
+        keep &= ((bitmap[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+    return keep
 
 
-def sieve(rows: DataFrame, wanted: DataFrame, key: str, likely: bool = True, size: int = FILTER_BITS) -> DataFrame:
-    """The rows whose ``key`` is likely to be among those of ``wanted``, by a bitmap of ``size`` bits; with ``likely``
+def sieve(
+    rows: DataFrame, wanted: DataFrame, key: str, likely: bool = True, size: int | None = None, least: int = FILTER_BITS
+) -> DataFrame:
+    """The rows whose ``key`` is likely to be among those of ``wanted``, by a bitmap (``id_filter``); with ``likely``
     false the others. Every row whose key is wanted is likely; rows travel no further than through the task."""
-    bitmap = rows.sparkSession.sparkContext.broadcast(id_filter(wanted.select(filter_bit(key, size)), size))
+    bitmap = rows.sparkSession.sparkContext.broadcast(id_filter(wanted.select(hashed(key)), size, least))
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = passes(bitmap.value, batch.column(batch.num_columns - 1).to_numpy()) == likely
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep))
 
-    return rows.select("*", filter_bit(key, size).alias("__bit")).mapInArrow(sift, rows.schema)
+    return rows.select("*", hashed(key).alias("__hash")).mapInArrow(sift, rows.schema)
 
 
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:

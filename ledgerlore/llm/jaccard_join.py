@@ -27,7 +27,7 @@ from ledgerlore.session import materialise
 
 UNIT = 1024  # sets that one task compares at once
 SKETCH = 1 << 22  # counters of the sketch, one byte each where they travel (4 MB)
-TOKEN_BITS = 1 << 25  # of the sieve of shared tokens (4 MB): many times as many tokens as ids are wanted
+TOKEN_BITS = 1 << 25  # of the sieve of shared tokens (4 MB), at least: many times as many tokens as ids are wanted
 SLICE = 1 << 21  # bytes of text that a task takes apart at once
 
 
@@ -86,9 +86,9 @@ def shingle_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
-    """``(id, tokens)``: the sets of ``wanted`` (id, doc_id), each from that document and once. A bitmap of fixed size
+    """``(id, tokens)``: the sets of ``wanted`` (id, doc_id), each from that document and once. A bitmap
     keeps most other documents out early; copies that pass it fall to the join with ``wanted``."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(C.id_filter(wanted.select(C.filter_bit("doc_id"))))
+    bitmap = docs.sparkSession.sparkContext.broadcast(C.id_filter(wanted.select(C.hashed("doc_id"))))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = C.Codes()
@@ -105,7 +105,7 @@ def sets_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull())
-    built = rows.select("text", C.filter_bit("doc_id"), "doc_id").mapInArrow(build, "id long, doc_id long, tokens array<long>")
+    built = rows.select("text", C.hashed("doc_id"), "doc_id").mapInArrow(build, "id long, doc_id long, tokens array<long>")
     # Rows that repeat both id and text become one before they are dealt out; one shuffle serves this and the join.
     once = built.groupBy("id", "doc_id").agg(F.first("tokens").alias("tokens"))
     return once.join(wanted.select("id", "doc_id"), ["id", "doc_id"], "left_semi").select("id", "tokens")
@@ -126,7 +126,7 @@ def candidates(tokens: DataFrame, percent: int, purpose: str) -> DataFrame:
     and fall to a bitmap before they travel again.
     """
     shared = shared_among(tokens, purpose)
-    rows = C.join_groups(C.sieve(tokens, shared, "token", size=TOKEN_BITS), shared.select("token", "m"), "token", "m")
+    rows = C.join_groups(C.sieve(tokens, shared, "token", least=TOKEN_BITS), shared.select("token", "m"), "token", "m")
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent + 1e-6))
     banded = rows.select("id", F.explode(F.array(band, band + 1)).alias("band"), "token")
     banded = materialise(banded.select(F.xxhash64("token", "band").alias("key"), "id").distinct(), purpose)

@@ -152,7 +152,7 @@ def described(docs: DataFrame) -> DataFrame:
 
 def sets_of(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """``(id, tokens)``: the shingle sets of the paragraphs ``texts`` (id, key), each from the row with that key."""
-    ids = docs.sparkSession.sparkContext.broadcast(C.id_filter(texts.select(bit("id"))))
+    ids = docs.sparkSession.sparkContext.broadcast(C.id_filter(texts.select("id")))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.byte_slices(batches, 2, SLICE):
@@ -160,7 +160,7 @@ def sets_of(docs: DataFrame, texts: DataFrame) -> DataFrame:
             starts = paragraph_starts(words, n)
             ends, text = paragraph_ends(starts, n)
             found = C.signed(paragraph_ids(words, starts, ends))
-            wanted = np.flatnonzero(C.passes(ids.value, found & (C.FILTER_BITS - 1)))
+            wanted = np.flatnonzero(C.passes(ids.value, found))
             size = (ends - starts)[wanted] - SHINGLE + 1
             offset = np.cumsum(size) - size
             at = np.repeat(starts[wanted] - offset, size) + np.arange(int(size.sum()))
@@ -178,19 +178,15 @@ def sets_of(docs: DataFrame, texts: DataFrame) -> DataFrame:
     return once.join(texts.select("id", "key"), ["id", "key"], "left_semi").select("id", "tokens")
 
 
-def bit(column: str):
-    """The filter bit of a column that is a hash already."""
-    return F.col(column).bitwiseAND(C.FILTER_BITS - 1).cast("int").alias("bit")
-
-
 def occurrences(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(doc_id, key, i, id)``: the paragraphs of ``described`` rows that are likely among the ids of ``wanted``."""
-    bitmap = rows.sparkSession.sparkContext.broadcast(C.id_filter(wanted.select(bit("id"))))
+    """``(doc_id, key, i, id)``: the paragraphs of ``described`` rows that are likely among the ids of ``wanted``, which
+    are hashes already."""
+    bitmap = rows.sparkSession.sparkContext.broadcast(C.id_filter(wanted.select("id")))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, row, place = flat(batch.column(2))
-            keep = C.passes(bitmap.value, ids & (C.FILTER_BITS - 1))
+            keep = C.passes(bitmap.value, ids)
             row = pa.array(row[keep])
             columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(place[keep], pa.int32()), pa.array(ids[keep])]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "i", "id"])
@@ -204,12 +200,12 @@ def colliding_ids(rows: DataFrame) -> DataFrame:
     tokens = bands.select(F.col("ids")[F.floor(F.col("j") / BANDS).cast("int")].alias("id"), "token")
     shared = shared_among(tokens, "paragraphs")
     # Most keys are of one paragraph only and fall to a bitmap before they travel again.
-    bitmap = rows.sparkSession.sparkContext.broadcast(C.id_filter(shared.select(bit("token"))))
+    bitmap = rows.sparkSession.sparkContext.broadcast(C.id_filter(shared.select("token")))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = flat(batch.column(1))[0]
-            keep = C.passes(bitmap.value, keys & (C.FILTER_BITS - 1))
+            keep = C.passes(bitmap.value, keys)
             ids = np.repeat(flat(batch.column(0))[0], BANDS)[keep]
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys[keep])], names=["id", "token"])
 

@@ -409,3 +409,13 @@ def test_a_larger_sieve_lets_fewer_others_pass(spark):
     rows, wanted = spark.range(4000).withColumnRenamed("id", "token"), spark.range(0, 4000, 8).withColumnRenamed("id", "token")
     small, large = ({r.token for r in C.sieve(rows, wanted, "token", size=size).collect()} for size in (1 << 10, 1 << 20))
     assert set(range(0, 4000, 8)) <= large <= set(range(4000)) and len(large) < 510 < len(small)
+
+
+def test_the_share_of_others_that_pass_a_sieve_does_not_grow(spark):
+    rng = np.random.default_rng(1)
+    others = rng.integers(-(1 << 63), 1 << 63, 200_000)
+    for n in (20_000, 400_000):  # in a bitmap of 2^23 bits, whatever the number, 4.7 % of the others pass the larger
+        wanted = spark.range(n).selectExpr("xxhash64(id) AS id")
+        bitmap = C.id_filter(wanted)
+        assert C.passes(bitmap, np.array([r.id for r in wanted.limit(5000).collect()])).all()
+        assert C.passes(bitmap, others).sum() < 0.004 * len(others)
