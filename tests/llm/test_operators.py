@@ -419,3 +419,34 @@ def test_the_share_of_others_that_pass_a_sieve_does_not_grow(spark):
         bitmap = C.id_filter(wanted)
         assert C.passes(bitmap, np.array([r.id for r in wanted.limit(5000).collect()])).all()
         assert C.passes(bitmap, others).sum() < 0.004 * len(others)
+
+
+def test_many_words_are_cut_into_pieces_at_once_as_one_by_one():
+    pieces = language_model.Pieces(*language_model.vocabulary()[:2])
+    texts = [b"", "The unbelievable\tcafé 日本語 ▁ ▁▁a \x00 \x1c".encode(), b" \n ", b"x" * 100 + b" THE the q", PASSAGE.encode()]
+    flat, lengths = language_model.piece_stream(language_model.Words(texts), pieces)
+    want = [[i for w in t.lower().split() for i in pieces.one(w)] + [language_model.END] for t in texts]
+    assert lengths.tolist() == [len(w) for w in want] and flat.tolist() == [i for w in want for i in w]
+
+
+def test_learning_looks_only_at_places_that_count():
+    rng = np.random.default_rng(2)
+    at, real, scored = language_model.windows(np.array([70, 5, 200]))
+    ids, target = rng.integers(0, 50, 275)[at].astype(np.int32), rng.integers(0, 41, 275)[at]
+    model = language_model.Attention(language_model.Attention.fresh(50))
+    whole = model.log_probability(ids, target, np.ones_like(scored))
+    assert model.log_probability(ids, target, scored)[scored] == pytest.approx(whole[scored], rel=1e-4)
+    # the step follows the slope of the loss
+    loss = lambda: -model.log_probability(ids, target, scored)[scored].mean(dtype=np.float64)
+    state, before = [np.zeros_like(w) for w in model.w], loss()
+    old = [w.copy() for w in model.w]
+    model.learn(ids, target, scored, state)
+    slopes = [np.sqrt(s) for s in state]
+    for i, j in ((1, (9, 3)), (2, (4, 20)), (2, (3, 2)), (3, (5, 5)), (4, (2, 7))):
+        ends = []
+        for step in (1e-2, -1e-2):
+            model.w, model.tables = [w.copy() for w in old], []
+            model.w[i][j] += step
+            ends.append(loss())
+        assert abs(ends[0] - ends[1]) / 2e-2 == pytest.approx(slopes[i][j], rel=0.05, abs=1e-4)
+    assert loss() == pytest.approx(before, rel=0.1)
