@@ -420,48 +420,68 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select(text).mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def joined(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of several texts (binary) end to end, and their numbers."""
+    texts = column.to_pylist()
+    return np.frombuffer(b"".join(texts), kind).astype(np.int32), np.array([len(t) for t in texts], np.int64) // np.dtype(kind).itemsize
+
+
 class Corpus:
-    """What is learnt from the training rows: counts of words and pieces, and the weights."""
+    """``rows`` (doc_id, text, perhaps held_out) as pieces, and what is learnt from those not held out: counts of words and pieces, and the weights."""
 
-    def __init__(self, train: DataFrame, path: str = PIECES):
-        spark = train.sparkSession
+    def __init__(self, rows: DataFrame, path: str = PIECES):
+        spark = rows.sparkSession
+        if "held_out" not in rows.columns:
+            rows = rows.select("doc_id", "text", held_out().alias("held_out"))
+        train = rows.where(~F.col("held_out"))
         context = spark.sparkContext
         vocab = vocabulary(path)
         self.vocab = context.broadcast(vocab)
         self.size = len(vocab[2])
         self.kind = np.uint16 if self.size <= 1 << 16 else np.int32
         self.words = materialise(word_counts(train), "words")
-        self.pieces = materialise(self._pieces(train), "lm", dense=True)
-        ends = self.pieces.count()
+        ends = train.count()
         distinct, total = self.words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
         self.tokens, self.distinct, self.ends = total + ends, distinct + (ends > 0), ends
         often = self.words.where(F.col("n") * FREQUENT >= self.tokens).select("code", "n").toArrow()
         codes = often["code"].to_numpy()
         order = np.argsort(codes)
         self.frequent = context.broadcast((codes[order], often["n"].to_numpy()[order].astype(np.int64)))
+        self.rows = materialise(self.taken_apart(rows), "lm", dense=True)
+        self.pieces = self.rows.where(~F.col("held_out")).select("shift", "pieces")
         self.piece_counts = self._piece_counts()
         self.class_of, self.in_class = classes(self.piece_counts, vocab[2])
         self.weights = Attention.fresh(self.size)
         for number in range(ROUNDS):
             self.weights = self._round(number)
 
-    def _pieces(self, train: DataFrame) -> DataFrame:
-        """``(shift, pieces)`` of the training texts, the end mark at the end; the window that a text begins with in a
-        round follows from its id."""
-        vocab, dtype = self.vocab, self.kind
+    def taken_apart(self, rows: DataFrame) -> DataFrame:
+        """``(doc_id, held_out, shift, n_tokens, known, sums, rare, pieces)`` of ``rows`` (doc_id, text, held_out): what
+        frequent words add to the base score, the codes of the other words, and the pieces with the end mark. ``shift``
+        gives the window that a text begins with in a round; it follows from the id."""
+        vocab, frequent, dtype = self.vocab, self.frequent, self.kind
+        names = ["doc_id", "held_out", "shift", "n_tokens", "known", "sums", "rare", "pieces"]
 
         def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pieces = None
             for batch in C.byte_slices(batches, 0, SLICE):
                 pieces = pieces or Pieces(*vocab.value[:2])
-                flat, lengths = piece_stream(Words(C.byte_texts(batch.column(0))), pieces)
+                words, rows = Words(C.byte_texts(batch.column(0))), batch.num_rows
+                count = counts_of(words.codes, frequent.value)[words.at]
+                owner, often = np.repeat(np.arange(rows), words.n), count > 0
+                known = np.bincount(owner[often], minlength=rows)
+                sums = np.bincount(owner[often], weights=np.log10(count[often] + 1.0), minlength=rows)
+                rare = substring_dedup.split(words.codes[words.at[~often]], owner[~often], rows)
+                flat, lengths = piece_stream(words, pieces)
                 stops = np.cumsum(lengths)
                 flat = flat.astype(dtype)
                 texts = [flat[a:b].tobytes() for a, b in zip(stops - lengths, stops)]
-                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(texts, pa.binary())], names=["shift", "pieces"])
+                columns = [pa.array(words.n + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns, rare, pa.array(texts, pa.binary())], names=names)
 
         shift = F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)).cast("int").alias("shift")
-        return train.select(F.col("text").cast("string").alias("text"), shift).mapInArrow(take_apart, "shift int, pieces binary")
+        kind = "doc_id long, held_out boolean, shift int, n_tokens long, known long, sums double, rare array<long>, pieces binary"
+        return rows.select(F.col("text").cast("string").alias("text"), "doc_id", "held_out", shift).mapInArrow(take_apart, kind)
 
     def _piece_counts(self) -> np.ndarray:
         size, dtype = self.size, self.kind
@@ -469,7 +489,7 @@ class Corpus:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.zeros(size, np.int64)
             for batch in batches:
-                counts += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype), minlength=size)
+                counts += np.bincount(joined(batch.column(0), dtype)[0], minlength=size)
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["piece", "n"])
 
@@ -489,9 +509,7 @@ class Corpus:
             state = [np.zeros_like(w) for w in weights]
             seen = 0
             for batch in C.arrow_rows(batches, 100):
-                texts = batch.column(1).to_pylist()
-                flat = np.frombuffer(b"".join(texts), dtype).astype(np.int32)
-                lengths = np.array([len(t) for t in texts], np.int64) // np.dtype(dtype).itemsize
+                flat, lengths = joined(batch.column(1), dtype)
                 at, scored = taken(lengths, batch.column(0).to_numpy(), number)
                 ids, target = inputs_of(flat, lengths), class_of[flat]
                 for i in range(0, len(at), WINDOWS):
@@ -567,50 +585,30 @@ def lm_scores(docs: DataFrame, path: str = PIECES) -> DataFrame:
     training rows all counts are zero and the model is the untrained one. Other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out"))
-    corpus = Corpus(rows.where(~F.col("held_out")), path)
+    corpus = Corpus(rows, path)
     context = docs.sparkSession.sparkContext
     shipped = context.broadcast((corpus.weights, corpus.class_of, corpus.in_class))
-    vocab, frequent = corpus.vocab, corpus.frequent
+    dtype, columns = corpus.kind, ["doc_id", "held_out", "n_tokens", "known", "sums", "key"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, class_of, in_class = shipped.value
-        model, pieces = Attention(weights), None
+        model = Attention(weights)
         for batch in C.arrow_rows(batches, 100):
-            pieces = pieces or Pieces(*vocab.value[:2])
-            words = Words(C.byte_texts(batch.column(1)))
-            count = counts_of(words.codes, frequent.value)[words.at]
-            owner, often = np.repeat(np.arange(batch.num_rows), words.n), count > 0
-            known = np.bincount(owner[often], minlength=batch.num_rows)
-            sums = np.bincount(owner[often], weights=np.log10(count[often] + 1.0), minlength=batch.num_rows)
-            rare = substring_dedup.split(words.codes[words.at[~often]], owner[~often], batch.num_rows)
-            if batch.num_rows:
-                flat, lengths = piece_stream(words, pieces)
-                scores = np.add.reduceat(text_scores(flat, lengths, model, class_of, in_class), np.cumsum(lengths) - lengths)
-            else:
-                scores = np.empty(0)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(2),
-                    pa.array(words.n + 1, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(sums, pa.float64()),
-                    pa.array(scores, pa.float64()),
-                    rare,
-                ],
-                names=["doc_id", "held_out", "n_tokens", "known", "sums", "score", "rare"],
-            )
-
-    kind = "doc_id long, held_out boolean, n_tokens long, known long, sums double, score double, rare array<long>"
-    ids = F.xxhash64("doc_id", "n_tokens", "sums", "score")
-    scored = materialise(rows.select("doc_id", "text", "held_out").mapInArrow(score, kind).withColumn("key", ids), "lm")
+            flat, lengths = joined(batch.column(len(columns)), dtype)
+            scores = text_scores(flat, lengths, model, class_of, in_class)
+            scores = np.add.reduceat(scores, np.cumsum(lengths) - lengths) if len(lengths) else scores
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*columns, "score"])
+
+    keyed = corpus.rows.withColumn("key", F.xxhash64("doc_id", "n_tokens", "sums", "rare", "pieces"))
+    kind = "doc_id long, held_out boolean, n_tokens long, known long, sums double, key long, score double"
+    scored = materialise(keyed.select(*columns, "pieces").mapInArrow(score, kind), "lm")
     # Words that are not frequent meet their counts; none of them is a large share of the rows.
-    rare = scored.select("key", F.explode("rare").alias("code"))
+    rare = keyed.select("key", F.explode("rare").alias("code"))
     found = rare.join(corpus.words.where(F.col("n") * FREQUENT < corpus.tokens), "code").groupBy("key")
     more = found.agg(F.sum(F.log10(F.col("n") + 1.0)).alias("more"), F.count(F.lit(1)).alias("more_known"))
     copies = scored.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
     more = more.join(copies, "key").select("key", (F.col("more") / F.col("copies")).alias("more"), (F.col("more_known") / F.col("copies")).cast("long").alias("more_known"), "copies")
-    out = C.join_groups(scored.drop("rare"), materialise(more, "lm"), "key", "copies", "left")
+    out = C.join_groups(scored, materialise(more, "lm"), "key", "copies", "left")
     base = F.log10(F.lit(float(corpus.tokens + corpus.distinct + 1)))
     return out.select(
         "doc_id",
