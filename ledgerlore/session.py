@@ -50,14 +50,16 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str, file_rows: int = 0, dense: bool = False) -> DataFrame:
+def materialise(df: DataFrame, purpose: str, file_rows: int = 0, dense: bool = False, folder: str | None = None) -> DataFrame:
     """Write a result that is used more than once to the shared folder and go on from there.
 
     The rows survive the loss of the executors that computed them, and later readers take only the columns
     they need. ``file_rows`` bounds the rows of a file, so that readers can share a partition's rows among tasks.
-    ``dense`` spends some time to make tables of texts or terms smaller.
+    ``dense`` spends some time to make tables of texts or terms smaller. ``folder`` is a column, the last one, each value of
+    which gets a folder of its own.
     """
     path = scratch_path(df.sparkSession, purpose)
     writer = df.write.option("maxRecordsPerFile", file_rows)
+    writer = writer.partitionBy(folder) if folder else writer
     (writer.option("compression", DENSE) if dense else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -184,3 +184,41 @@ def test_only_hit_members_are_joined(spark):
     members = spark.createDataFrame([("a",), ("b",), ("c",)], "chunk_id string")
     assert sorted(r.chunk_id for r in similarity.hit_members(hits, members).collect()) == ["a", "c"]
     assert similarity.hit_members(hits, members, limit=1).count() == 3
+
+
+def test_frequent_words_are_not_walked_for_texts_that_cannot_win(spark, monkeypatch):
+    monkeypatch.setattr(postings, "GROUP_BITS", 4)
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(3000)]
+    weights = [1 / (i + 1) for i in range(3000)]
+    texts = [(f"t{i:04}", " ".join(rng.choices(words, weights, k=rng.randint(5, 60)))) for i in range(1200)]
+    queries = [(i, " ".join(rng.choices(words, weights, k=25))) for i in range(30)]
+    index = postings.build_text_index(spark.createDataFrame(texts, "chunk_id string, content string"))
+    wide = postings.term_counts(spark.createDataFrame(queries, "qid long, content string"), "qid", "content")
+    rows = postings._unit(wide, index.terms, "qid").selectExpr("string(qid) as vector", "terms", "idf", "weights").toArrow()
+    asked = postings._queries(rows)
+    stored = index.vectors.toArrow().select(["id", "terms", "counts", "length"])
+    block = postings._Block(stored, asked.terms, asked.idf)
+    walked = []
+    plain = postings._Block._walk
+    monkeypatch.setattr(postings._Block, "_walk", lambda self, q, f, sizes, w: walked.append(int(sizes.sum())) or plain(self, q, f, sizes, w))
+    want = {(q, i): s for q, r, i, s in brute_search(texts, queries, 3)}
+    floor = [min(s for (q, _), s in want.items() if q == int(name)) for name in asked.names.to_pylist()]
+    query, text, score = block.hits(asked, postings.np.array(floor), 3)
+    have = {(int(asked.names[q].as_py()), block.ids[t].as_py()): s for q, t, s in zip(query.tolist(), text.tolist(), score.tolist())}
+    assert have.keys() == want.keys() and all(abs(have[p] - want[p]) < 2e-6 for p in want)
+    postings_of_queries = int((block.ends[asked.place + 1] - block.ends[asked.place]).sum())
+    assert 0 < sum(walked) < postings_of_queries / 4
+
+
+def test_texts_are_searched_with_the_scores_of_the_lots_before(spark, monkeypatch):
+    monkeypatch.setattr(postings, "LOTS", (2, 4, 8))
+    rng = random.Random(9)
+    texts = [(f"t{i:03}", " ".join(rng.choices(WORDS, k=rng.randint(1, 30)))) for i in range(200)]
+    queries = [(i, " ".join(rng.choices(WORDS, k=6))) for i in range(20)]
+    index = postings.build_text_index(spark.createDataFrame(texts, "chunk_id string, content string"))
+    seen, plain = [], postings._floors
+    monkeypatch.setattr(postings, "_floors", lambda *a: seen.append(plain(*a)) or seen[-1])
+    got = postings.search_text_index(index, spark.createDataFrame(queries, "qid long, content string"), 3)
+    assert {(r.qid, r.rank, r.id) for r in got.collect()} == {(q, r, i) for q, r, i, _ in brute_search(texts, queries, 3)}
+    assert len(seen) == 2 and (seen[0] > 0).all() and (seen[1] >= seen[0]).all()
