@@ -68,17 +68,26 @@ def mentions(questions: DataFrame, names: DataFrame, *, key: str = "qid", text:
     entities = F.collect_set(F.struct("words", "entity_type", "entity_id")).alias("entities")
     known = materialise(asked.join(names.groupBy("gram").agg(entities), "gram"), "known-names")
     found = join_shared(grams, known, "gram", "times").select("__key", "start", F.explode("entities").alias("e")).select("__key", "start", "e.*")
-    per_question = found.groupBy("__key").agg(F.array_sort(F.collect_set(F.struct("start", "words", "entity_type", "entity_id"))).alias("all"))
+    per_question = found.groupBy("__key").agg(
+        F.array_sort(F.collect_set(F.struct("start", "words", "entity_type", "entity_id"))).alias("all"),
+        F.collect_set(F.struct("start", "words")).alias("spans"),
+    )
 
     def beaten(m: Column) -> Column:
         return F.exists(
-            "all",
+            "spans",
             lambda o: (o["start"] < m["start"] + m["words"])
             & (m["start"] < o["start"] + o["words"])
             & ((o["words"] > m["words"]) | ((o["words"] == m["words"]) & (o["start"] < m["start"]))),
         )
 
-    return per_question.select(F.col("__key").alias(key), F.filter("all", lambda m: ~beaten(m)).alias("mentions"))
+    def standing(spans: Column) -> Column:
+        return F.filter("all", lambda m: F.exists(spans, lambda o: (o["start"] == m["start"]) & (o["words"] == m["words"])))
+
+    # Many things may share a name, so spans are compared and not mentions. One-element transform: the spans that stand are
+    # found once and not per mention.
+    kept = F.flatten(F.transform(F.array(F.filter("spans", lambda m: ~beaten(m))), standing))
+    return per_question.select(F.col("__key").alias(key), kept.alias("mentions"))
 
 
 def asked_for(question: Column, found: Column) -> Column:

@@ -222,3 +222,14 @@ def test_texts_are_searched_with_the_scores_of_the_lots_before(spark, monkeypatc
     got = postings.search_text_index(index, spark.createDataFrame(queries, "qid long, content string"), 3)
     assert {(r.qid, r.rank, r.id) for r in got.collect()} == {(q, r, i) for q, r, i, _ in brute_search(texts, queries, 3)}
     assert len(seen) == 2 and (seen[0] > 0).all() and (seen[1] >= seen[0]).all()
+
+
+def test_spans_are_compared_and_not_all_that_share_a_name(spark):
+    names = [("ann lee", 2, "customer", str(i)) for i in range(40)] + [("lee", 1, "city", "Lee"), ("ann", 1, "city", "Ann")]
+    names = spark.createDataFrame(names, "gram string, words int, entity_type string, entity_id string")
+    asked = spark.createDataFrame([(1, "Did Ann Lee or Lee pay?"), (2, "nobody")], "qid int, question string")
+    found = entities.mentions(asked, names)
+    (row,) = found.collect()
+    assert sorted((m.start, m.words, m.entity_id) for m in row.mentions) == sorted([(1, 2, str(i)) for i in range(40)] + [(4, 1, "Lee")])
+    assert row.mentions == sorted(row.mentions)
+    assert "exists(all" not in found._jdf.queryExecution().toString()  # every mention was compared with every other
